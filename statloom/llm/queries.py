@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm.eval_leaks import leaked_items
+from statloom.llm.near_duplicates import Alike, alike_groups, alike_pairs
 from statloom.llm.packing import measured, pack_windows
 from statloom.llm.shared_spans import shared_coverage, sharing_pairs
 from statloom.runtime import table
@@ -20,6 +21,19 @@ TOKENIZERS = os.environ.get("STATLOOM_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+#: Likeness of records as TESTDATA.md has it.
+RECORDS = Alike(threshold=0.7, words=3, least_words=40)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return alike_pairs(table(spark, d, "parsed"), RECORDS)
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The class, number of links and group of each record."""
+    return alike_groups(table(spark, d, "parsed"), RECORDS)
+
+
 def _capacities(spark: SparkSession, d: str) -> list[int]:
     return [r[0] for r in table(spark, d, "context_windows").select("capacity_tokens").distinct().orderBy("capacity_tokens").collect()]  # a fixed table
 
@@ -72,5 +86,5 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_coverage(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
 SQL: dict[str, str] = {}
