@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.llm.eval_leaks import leaked_items
+from statloom.llm.markup import cleaned, markup_found
 from statloom.llm.near_duplicates import Alike, alike_groups, alike_pairs
 from statloom.llm.packing import measured, pack_windows
 from statloom.llm.shared_spans import shared_coverage, sharing_pairs
@@ -21,6 +22,15 @@ TOKENIZERS = os.environ.get("STATLOOM_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup_found(table(spark, d, "parsed"))
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text of both fields."""
+    return cleaned(table(spark, d, "parsed")).select("record_id", "field_name", "clean_text")
+
+
 #: Likeness of records as TESTDATA.md has it.
 RECORDS = Alike(threshold=0.7, words=3, least_words=40)
 
@@ -86,5 +96,5 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_coverage(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
 SQL: dict[str, str] = {}
