@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as Python's str.split has it; Java's \s is ASCII only.
 SPACE = r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -27,7 +28,7 @@ def section_key(c: Column) -> Column:
     return F.when(k != "", k)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
