@@ -68,10 +68,10 @@ def delivered(snapshots: DataFrame, batches: DataFrame, values: dict[str, Column
     is when the following snapshot was taken. Rows without a usable section number name no section
     and give none.
     """
-    good = batches.where("status = 'complete'").select("batch_id", F.col("snapshot_no").cast("long").alias("snapshot_no"), "taken_at")
-    good = good.withColumn("next_at", F.lead("taken_at").over(Window.orderBy("snapshot_no"))).drop("taken_at")  # one row per delivery, never many
+    good = batches.where("status = 'complete' and snapshot_no is not null").select(F.col("batch_id").alias("__batch"), F.col("snapshot_no").cast("long").alias("__no"), "taken_at")
+    good = good.withColumn("__next", F.lead("taken_at").over(Window.orderBy("__no"))).drop("taken_at")  # one row per delivery, never many
     h1, h2 = content_hash(*values.values())
-    rows = snapshots.join(good, "batch_id").select(section_key(F.col("sectionNumber")).alias("section_key"), "snapshot_no", "loaded_at", "row_id", "next_at", h1.alias("h1"), h2.alias("h2"))
+    rows = snapshots.join(good, snapshots["batch_id"] == good["__batch"]).select(section_key(F.col("sectionNumber")).alias("section_key"), F.col("__no").alias("snapshot_no"), "loaded_at", "row_id", F.col("__next").alias("next_at"), h1.alias("h1"), h2.alias("h2"))
     return rows.where("section_key is not null")
 
 

@@ -40,40 +40,41 @@ def orphan_references(
 
     A parent holds at t if added <= t and (dropped is null or dropped > t). A null ``at`` or a
     null ``added`` never holds: such a reference is "late" if its key is known. Repeated parents
-    count once, repeated references stay. An empty frame on either side is no error. Columns of
-    the parents that are named like others of the references don't clash.
+    count once, repeated references stay. An empty frame on either side is no error. Other columns may
+    have any names; a column ``reason`` of the references is replaced.
     """
     if match not in MATCH:
         raise ValueError(f"match is one of {MATCH}")
+    # the references' own columns travel in one struct, so that none of their names can clash
+    own_columns = [c for c in refs.columns if c != "reason"]
+    r = refs.select(*(refs[k].alias(f"__k{i}") for i, k in enumerate(keys)), refs[at].alias("__at"), F.struct(*(refs[c] for c in own_columns)).alias("__row"))
     out: list[DataFrame] = []
     for mask in product((True, False), repeat=len(keys)):
-        have = tuple(k for k, m in zip(keys, mask, strict=True) if m)
-        own = reduce(lambda a, b: a & b, (F.col(k).isNotNull() if m else F.col(k).isNull() for k, m in zip(keys, mask, strict=True)))
+        have = [i for i, m in enumerate(mask) if m]
+        named = tuple(keys[i] for i in have)
         if not have or (len(have) < len(keys) and match == "simple"):
             continue
-        some = refs.where(own)
+        some = r.where(reduce(lambda a, b: a & b, (F.col(f"__k{i}").isNotNull() if m else F.col(f"__k{i}").isNull() for i, m in enumerate(mask))))
         if len(have) < len(keys) and match == "full":
-            out.append(some.withColumn("reason", F.lit("partial_null")))
+            out.append(some.select("__row", F.lit("partial_null").alias("reason")))
             continue
         if isinstance(parents, DataFrame):
             of = parents
-        elif have in parents:
-            of = parents[have]
+        elif named in parents:
+            of = parents[named]
         else:
             continue
-        named = [f"__{k}" for k in have]
-        p = of.select(*(F.col(k).alias(n) for k, n in zip(have, named, strict=True)), F.col(added).alias("__added"), F.col(dropped).alias("__dropped"))
-        p = p.dropna(subset=named).distinct()
-        same = [some[k] == F.col(n) for k, n in zip(have, named, strict=True)]
-        holds = (F.col("__added") <= some[at]) & (F.col("__dropped").isNull() | (F.col("__dropped") > some[at]))
+        p = of.select(*(of[keys[i]].alias(f"__p{i}") for i in have), of[added].alias("__added"), of[dropped].alias("__dropped")).dropna(subset=[f"__p{i}" for i in have]).distinct()
+        same = [F.col(f"__k{i}") == F.col(f"__p{i}") for i in have]
+        holds = (F.col("__added") <= F.col("__at")) & (F.col("__dropped").isNull() | (F.col("__dropped") > F.col("__at")))
         gone = some.join(p, reduce(lambda a, b: a & b, [*same, holds]), "left_anti")
-        first = p.groupBy(*named).agg(F.min("__added").alias("__first"), F.lit(True).alias("__known"))
-        gone = gone.join(first, reduce(lambda a, b: a & b, (gone[k] == F.col(n) for k, n in zip(have, named, strict=True))), "left")
-        reason = F.when(F.col("__known").isNull(), "missing").when(F.col("__first") <= F.col(at), "deleted").otherwise("late")
-        out.append(gone.withColumn("reason", reason).drop(*named, "__first", "__known"))
+        first = p.groupBy(*(f"__p{i}" for i in have)).agg(F.min("__added").alias("__first"), F.lit(True).alias("__known"))
+        gone = gone.join(first, reduce(lambda a, b: a & b, same), "left")
+        reason = F.when(F.col("__known").isNull(), "missing").when(F.col("__first") <= F.col("__at"), "deleted").otherwise("late")
+        out.append(gone.select("__row", reason.alias("reason")))
     if not out:
-        return refs.limit(0).withColumn("reason", F.lit(""))
-    return reduce(DataFrame.unionByName, out)
+        return refs.limit(0).select(*own_columns, F.lit("").alias("reason"))
+    return reduce(DataFrame.unionByName, out).select("__row.*", "reason")
 
 
 def count_orphans(orphans: DataFrame, table: str, period: str) -> DataFrame:
@@ -126,8 +127,9 @@ def _spaced(patterns: Sequence[str]) -> str:
 
 def _found(text: Column, word: str, number: str) -> Column:
     """Numbers named after ``word``, lists taken whole, other bodies of law left out."""
+    sign = rf"|§+{_S}*" if word == "section" else ""  # a sign alone names sections
     item = rf"(?:\[{_S}*)?{number}{_SUBS}(?:{_S}*\])?{_SUBS}"
-    whole = rf"(?i)(?:(?<!\w)(?:{_spaced(FOREIGN_BEFORE)}){_S}*)?(?:\b{word}s?\b{_S}*{_MARK}|§+{_S}*){item}(?:{_SEP}{_MARK}{item})*(?:,?{_S}+(?:of|in){_S}+(?:the{_S}+)?(?:{_spaced(FOREIGN_AFTER)}))?"
+    whole = rf"(?i)(?:(?<!\w)(?:{_spaced(FOREIGN_BEFORE)}){_S}*)?(?:\b{word}s?\b{_S}*{_MARK}{sign}){item}(?:{_SEP}{_MARK}{item})*(?:,?{_S}+(?:of|in){_S}+(?:the{_S}+)?(?:{_spaced(FOREIGN_AFTER)}))?"
     out_of = rf"(?is)^(?!{word}|§).*|.*(?:of|in){_S}+(?:the{_S}+)?(?:{_spaced(FOREIGN_AFTER)})$"
     own = F.filter(F.regexp_extract_all(text, F.lit(whole), F.lit(0)), lambda m: ~m.rlike(out_of))
     return F.flatten(F.transform(own, lambda m: F.regexp_extract_all(F.regexp_replace(m, r"\([A-Za-z0-9]{1,5}\)", " "), F.lit(rf"(?<![\w.:-]){number}"), F.lit(0))))

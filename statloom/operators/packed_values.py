@@ -6,7 +6,8 @@ picks the likeliest segmentation of every line. Quoted and bracketed spans are a
 nothing inside them can part two values.
 
 Model. A line is a list of atoms with gaps between them. A gap is a candidate cut if it holds a
-separator sign. P(line) = product of theta(shape of value) and pi(kind of gap at each cut).
+separator sign. P(line) = product of theta(shape of value) for its values, and of pi(kind) for each
+gap that is a cut, 1 - pi(kind) for each that is not.
 A value's shape is its text with digit runs folded, and quoted or bracketed spans folded; theta mixes
 the shape's frequency with how often values begin and end with the atoms it has at its ends, for
 shapes seen too seldom to count. Shapes, ends and gap kinds are hashed into a fixed number of
@@ -46,6 +47,8 @@ GAP_BUCKETS = 256
 END_BUCKETS = 1024
 #: Weight of the ends' part in theta, and what an unseen bucket counts.
 END_WEIGHT, UNSEEN = 1e-3, 1e-9
+#: Cuts and gaps within values that each kind of gap counts before any is seen.
+GAP_PRIOR = 0.1
 
 
 @dataclass(frozen=True)
@@ -119,7 +122,7 @@ def _hash(text: str, buckets: int) -> int:
 
 @dataclass(frozen=True)
 class Weights:
-    """Frequencies by bucket: of shapes, first atoms, last atoms, and gaps that part values."""
+    """By bucket: frequencies of shapes, first and last atoms; odds that a gap parts values."""
 
     shape: list[float]
     first: list[float]
@@ -128,8 +131,10 @@ class Weights:
 
     @classmethod
     def of(cls, counts: np.ndarray, buckets: int) -> "Weights":
-        parts = np.split(counts + UNSEEN, [buckets, buckets + END_BUCKETS, buckets + 2 * END_BUCKETS])
-        return cls(*((p / p.sum()).tolist() for p in parts))
+        at = np.cumsum([buckets, END_BUCKETS, END_BUCKETS, GAP_BUCKETS])
+        *values, cut, seen = np.split(counts, at)
+        odds = (cut + GAP_PRIOR) / (np.maximum(seen - cut, 0) + GAP_PRIOR)
+        return cls(*(((p + UNSEEN) / (p + UNSEEN).sum()).tolist() for p in values), odds.tolist())
 
 
 #: A way from one cut to the next: what it weighs, and the buckets that it counts for.
@@ -161,6 +166,9 @@ def _expect(line: _Line, n: float, w: Weights, buckets: int, into: dict[int, flo
     """Forward-backward; adds the expected counts to the buckets."""
     _, arcs, gaps = _lattice(line, w, buckets)
     gap_at = buckets + 2 * END_BUCKETS
+    for g in line.gaps:
+        if g and _SIGN.search(g):
+            into[gap_at + GAP_BUCKETS + _hash(_kind(g), GAP_BUCKETS)] += n
     fore, scales, weighs = [[1.0]], [], []
     for k, arc in enumerate(arcs):
         by = [w.gap[g] for g in gaps[k]] if k < len(gaps) else [1.0]
@@ -224,7 +232,8 @@ def entry_text(line: _Line, i: int, j: int) -> str:
 def learn(df: DataFrame, col: str, how: Packing) -> Weights:
     """Expectation-maximisation over the whole column.
 
-    Lines with equal lattices are counted together first. Each round is one job whose result
+    Lines with equal lattices are counted together first. The first round looks at lines of one value alone, where there is
+    nothing to guess; the rest start from what it saw. Each round is one job whose result
     has at most one row per bucket.
     """
     anchor, buckets = re.compile(how.anchor), how.buckets
@@ -240,9 +249,10 @@ def learn(df: DataFrame, col: str, how: Packing) -> Weights:
 
     seen = df.select(col).where(F.col(col).isNotNull()).mapInArrow(shapes, "shape string, anchors array<int>, n long")
     seen = materialize(seen.groupBy("shape", "anchors").agg(F.sum("n").alias("n")), "shapes")
-    size = buckets + 2 * END_BUCKETS + GAP_BUCKETS
-    w = Weights.of(np.ones(size), buckets)
-    for _ in range(how.rounds):
+    size = buckets + 2 * END_BUCKETS + 2 * GAP_BUCKETS
+    w = Weights.of(np.zeros(size), buckets)
+    for k in range(how.rounds):
+        lines = seen.where("size(anchors) = 1") if k == 0 else seen
 
         def expect(batches: Iterator[pa.RecordBatch], w: Weights = w) -> Iterator[pa.RecordBatch]:
             got: dict[int, float] = defaultdict(float)
@@ -252,9 +262,10 @@ def learn(df: DataFrame, col: str, how: Packing) -> Weights:
             yield pa.RecordBatch.from_arrays([pa.array(got.keys(), pa.int32()), pa.array(got.values(), pa.float64())], ["k", "c"])
 
         counts = np.zeros(size)
-        for k, c in seen.mapInArrow(expect, "k int, c double").groupBy("k").agg(F.sum("c")).collect():
-            counts[k] = c
-        w = Weights.of(counts, buckets)
+        for at, c in lines.mapInArrow(expect, "k int, c double").groupBy("k").agg(F.sum("c")).collect():
+            counts[at] = c
+        if counts.any():
+            w = Weights.of(counts, buckets)
     release(seen)
     return w
 
