@@ -115,7 +115,7 @@ def apply_fix(checked: DataFrame) -> DataFrame:
     """(query, fixed): the first unknown word replaced by its suggestion."""
     quoted = F.concat(F.lit(r"(?i)(?<![a-z'’-])\Q"), F.col("unknown"), F.lit(r"\E['’-]*(?![a-z'’-])"))
     at = F.regexp_instr("query", quoted)
-    found = F.regexp_extract("query", quoted, 0)
+    found = F.coalesce(F.regexp_substr("query", quoted), F.lit(""))
     fixed = F.concat(F.substr("query", F.lit(1), at - 1), F.col("suggestion"), F.substr(F.col("query"), at + F.length(found)))
     return checked.select("query", F.when(F.col("suggestion").isNotNull() & (at > 0), fixed).otherwise(F.col("query")).alias("fixed"))
 
