@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # How numbers, lists and other bodies of law are written.
@@ -73,9 +73,9 @@ def candidates(text: str) -> list[tuple[int, int, str, str, bool, str | None]]:
 
 
 def detect(blocks: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """Rows (keys, seq, start, end, cited, number, kind, range_endpoint, guard), one per candidate.
+    """Rows (keys, seq, start, end, cited, number, kind, range_endpoint, guard, before), one per candidate.
 
-    blocks: one row per block of text, told apart by ``keys``. Null texts and texts without a keyword or sign and a digit give none.
+    blocks: one row per block of text, told apart by ``keys``. ``before`` is the number found right before in the same block. Null texts and texts without a keyword or sign and a digit give none.
     """
     fields = {f.name: f.dataType for f in blocks.schema}
 
@@ -84,15 +84,17 @@ def detect(blocks: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
             at: list[int] = []
             rows: list[tuple] = []
             for r, t in enumerate(b.column(len(keys)).to_pylist()):
+                last = None
                 for seq, c in enumerate(candidates(t)):
                     at.append(r)
-                    rows.append((seq, c[0], c[1], t[c[0] : c[1]], *c[2:]))
-            types = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string())
+                    rows.append((seq, c[0], c[1], t[c[0] : c[1]], *c[2:], last))
+                    last = c[2]
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string())
             cols = list(zip(*rows, strict=True)) or [()] * len(types)
             take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(keys))), *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], [*keys, "seq", "start", "end", "cited", "number", "kind", "range_endpoint", "guard"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(keys))), *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], [*keys, "seq", "start", "end", "cited", "number", "kind", "range_endpoint", "guard", "before"])
 
-    schema = ", ".join(f"`{k}` {fields[k].simpleString()}" for k in keys) + ", seq int, start int, end int, cited string, number string, kind string, range_endpoint boolean, guard string"
+    schema = ", ".join(f"`{k}` {fields[k].simpleString()}" for k in keys) + ", seq int, start int, end int, cited string, number string, kind string, range_endpoint boolean, guard string, before string"
     return blocks.select(*keys, text).where(F.col(text).rlike(r"(?i)(?:section|chapter|§)[^0-9]{0,12}[0-9]")).mapInArrow(run, schema)
 
 
@@ -143,9 +145,8 @@ def range_members(found: DataFrame, sections: DataFrame, unit: Sequence[str]) ->
     A range is a candidate marked as its end and the one right before it in the same unit; both plain numbers of one chapter.
     """
     simple = r"^([0-9]+[A-Z]?)-([0-9]+)\z"
-    by = Window.partitionBy(*unit).orderBy("seq")
     part = lambda c, g: F.regexp_extract(c, simple, g)
-    ends = found.select(*unit, "seq", "number", "kind", "range_endpoint", F.lag("number").over(by).alias("__from")).where("range_endpoint and kind = 'section' and __from is not null")
+    ends = found.where("range_endpoint and kind = 'section' and before is not null").select(*unit, "seq", "number", F.col("before").alias("__from"))
     lo, hi = part("__from", 2).try_cast("long"), part("number", 2).try_cast("long")
     ends = ends.withColumns({"__c": part("number", 1), "__lo": lo, "__hi": hi}).where((F.col("__c") != "") & (F.col("__c") == part("__from", 1)) & (F.col("__hi") - F.col("__lo") > 1))
     known = sections.select(F.col("key"), F.col("number").alias("target")).withColumns({"__k": part("key", 1), "__n": part("key", 2).try_cast("long")}).where("__k <> ''")

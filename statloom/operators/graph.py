@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from statloom.functions.identity import natural_key
 from statloom.operators.citations import detect, range_members, resolve
 from statloom.operators.crossdoc import cross_targets, detect_cross
+from statloom.runtime import materialize
 
 
 def text_blocks(sections: DataFrame) -> DataFrame:
@@ -34,8 +35,9 @@ def build_graph(sections: DataFrame, targets: DataFrame, chapters: DataFrame, al
     """Edges of a corpus: what bodies and annotations cite, members of cited ranges, other documents."""
     blocks = text_blocks(sections)
     unit = ["source", "ord", "block"]
-    found = detect(blocks, unit, "text")
-    cross = detect_cross(blocks, unit, "text", cross_targets(sections))
+    found = materialize(detect(blocks, unit, "text").drop("start", "end", "cited"), "citations")  # read twice; detected once
+    others = cross_targets(sections)
+    cross = detect_cross(blocks, unit, "text", others) if not others.isEmpty() else None
     return edges_of(resolve(found, targets, chapters, aliases), range_members(found, targets, unit), cross)
 
 
