@@ -38,4 +38,25 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_by_table_and_month, p4_found, p6_found)}
-SQL: dict[str, str] = {}
+
+
+def _sql_text(c: str) -> str:
+    """``same_text`` in SQL."""
+    return f"nfc_normalize(trim(regexp_replace(translate({c}, '‑­', '-'), '[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+', ' ', 'g')))"
+
+
+def _sql_key(c: str) -> str:
+    """``section_key`` in SQL."""
+    return f"nullif(upper(regexp_replace(regexp_replace(translate({c}, '‐‑‒–−﹣－[]§­', '-------'), '[\\s\\x{{a0}}]+', '', 'g'), '^0+([0-9])', '\\1')), '')"
+
+
+_CURRENT = f"c AS (SELECT * FROM (SELECT {_sql_key('sectionNumber')} AS section_key, snapshot_no::BIGINT AS n, {_sql_text('title')} AS t, {_sql_text('bodyText')} AS b, {_sql_text('history')} AS h, isRepealed AS r, row_number() OVER (PARTITION BY {_sql_key('sectionNumber')}, snapshot_no ORDER BY loaded_at DESC, row_id DESC) AS rn FROM parsed_snapshots JOIN load_batches USING (batch_id) WHERE status = 'complete') WHERE rn = 1 AND section_key IS NOT NULL)"
+SQL: dict[str, str] = {
+    "p4_found": f"""WITH {_CURRENT}, m AS (SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(t) OVER w IS NOT DISTINCT FROM t AND lag(b) OVER w IS NOT DISTINCT FROM b AND lag(r) OVER w IS NOT DISTINCT FROM r THEN 0 ELSE 1 END AS begins FROM c WINDOW w AS (PARTITION BY section_key ORDER BY n)),
+g AS (SELECT *, sum(begins) OVER (PARTITION BY section_key ORDER BY n ROWS UNBOUNDED PRECEDING) AS run FROM m)
+SELECT section_key, min(n) AS first_snapshot, max(n) AS last_snapshot FROM g GROUP BY section_key, run""",
+    "p6_found": f"""WITH {_CURRENT}
+SELECT coalesce(x.section_key, y.section_key) AS section_key, coalesce(x.n, y.n + 1) AS snapshot_no, CASE WHEN y.n IS NULL THEN 'added' WHEN x.n IS NULL THEN 'removed' ELSE 'changed' END AS change_kind
+FROM (SELECT * FROM c WHERE n >= 2) x FULL JOIN (SELECT * FROM c WHERE n <= 7) y ON x.section_key = y.section_key AND x.n = y.n + 1
+WHERE y.n IS NULL OR x.n IS NULL OR x.b IS DISTINCT FROM y.b OR x.h IS DISTINCT FROM y.h""",
+}
