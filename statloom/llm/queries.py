@@ -97,4 +97,18 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
-SQL: dict[str, str] = {}
+
+_PASSAGE = "regexp_extract_all(lower(coalesce({c}, '')), '[\\p{{L}}\\p{{N}}]+')"
+SQL: dict[str, str] = {
+    "p5_found": f"""WITH w AS (SELECT record_id, {_PASSAGE.format(c="coalesce(title, '') || ' ' || coalesce(bodyText, '')")} AS w FROM parsed),
+s AS (SELECT DISTINCT record_id, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' '))) AS s FROM w WHERE len(w) >= 40),
+n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_id AS a, b.record_id AS b, count(*) AS m FROM s a JOIN s b ON a.s = b.s AND a.record_id < b.record_id GROUP BY ALL)
+SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m)""",
+    "p8_found": f"""WITH d AS (SELECT doc_id, {_PASSAGE.format(c="text")} AS w FROM documents), i AS (SELECT item_id, {_PASSAGE.format(c="passage")} AS w FROM eval_items),
+g AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM i WHERE len(w) >= 13),
+h AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM d WHERE len(w) >= 13)
+SELECT DISTINCT item_id, doc_id FROM g JOIN h USING (s)""",
+    "p9_found": """WITH s AS (SELECT DISTINCT doc_id, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)),
+m AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.h = b.h AND a.doc_id < b.doc_id""",
+}
