@@ -161,6 +161,31 @@ def _ranked(pieces: DataFrame) -> DataFrame:
     return salted.withColumn("within", within).join(before, ["size", "salt"]).withColumn("rank", F.col("before") + F.col("within")).drop("salt", "within", "before")
 
 
+def _looked_up(ranked: DataFrame, rows: list[tuple]) -> DataFrame:
+    """(doc_id, piece, size, capacity, window_no, start) by binary search for (size, rank) in the places.
+
+    The places are as many as the patterns have different sizes: their number depends on the capacities, not on the texts.
+    """
+    size, lo, _, cap, window, times, slot = (np.array(c, np.int64) for c in zip(*sorted(rows), strict=True)) if rows else [np.empty(0, np.int64)] * 7
+    first = {int(s): int(k) for k, s in reversed(list(enumerate(size)))}
+    last = {int(s): k + 1 for k, s in enumerate(size)}
+    kind = dict(ranked.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s, rank = b.column("size").to_numpy(), b.column("rank").to_numpy()
+            at = np.empty(len(s), np.int64)
+            for v in np.unique(s):
+                own = s == v
+                f = first[int(v)]
+                at[own] = f + np.searchsorted(lo[f : last[int(v)]], rank[own], "right") - 1
+            k = rank - lo[at]
+            cols = [pa.array(x) for x in (s.astype(np.int64), cap[at], window[at] + k // times[at], slot[at] + k % times[at] * s)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("piece"), *cols], ["doc_id", "piece", "size", "capacity", "window_no", "start"])
+
+    return ranked.select("doc_id", "piece", "size", "rank").mapInArrow(run, f"doc_id {kind}, piece long, size long, capacity long, window_no long, start long")
+
+
 def pack_windows(sizes: DataFrame, capacities: Sequence[int], per_step: int = 32) -> DataFrame:
     """(doc_id, piece, capacity, window_no, start, n_tokens, step_group): each text's place.
 
@@ -180,16 +205,12 @@ def pack_windows(sizes: DataFrame, capacities: Sequence[int], per_step: int = 32
     rows, windows = _placed(pack_histogram(counts, caps), per_step)
     if 0 in counts:
         rows.append((0, 0, counts[0], caps[0], 0, counts[0], 0))
-    spark = sizes.sparkSession
-    places = spark.createDataFrame(rows, "size int, rank_from long, rank_to long, capacity int, window_from long, times long, slot long") if rows else spark.createDataFrame([], "size int, rank_from long, rank_to long, capacity int, window_from long, times long, slot long")
-    ranked = _ranked(pieces)
-    at = ranked.join(places, "size").where("rank >= rank_from and rank < rank_to").withColumn("k", F.col("rank") - F.col("rank_from"))
-    at = at.withColumn("window_no", F.col("window_from") + F.floor(F.col("k") / F.col("times"))).withColumn("start", F.col("slot") + (F.col("k") % F.col("times")) * F.col("size"))
+    at = _looked_up(_ranked(pieces), rows)
     groups = F.create_map(*(F.lit(x) for c, (_, g) in sorted(windows.items()) for x in (c, g))) if windows else F.create_map(F.lit(0), F.lit(1))
-    g = F.coalesce(groups[F.col("capacity")], F.lit(1)).cast("long")
+    g = F.coalesce(groups[F.col("capacity").cast("int")], F.lit(1)).cast("long")
     turn = F.col("window_no") % (2 * g)
     step = F.when(turn < g, turn).otherwise(2 * g - 1 - turn)
-    return at.select("doc_id", "piece", F.col("capacity").cast("long").alias("capacity"), "window_no", "start", F.col("size").cast("long").alias("n_tokens"), step.alias("step_group"))
+    return at.select("doc_id", "piece", "capacity", "window_no", "start", F.col("size").alias("n_tokens"), step.alias("step_group"))
 
 
 def measured(docs: DataFrame, vocabulary: str) -> DataFrame:
