@@ -77,6 +77,9 @@ def detect(blocks: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
 
     blocks: one row per block of text, told apart by ``keys``. ``before`` is the number found right before in the same block. Null texts and texts without a keyword or sign and a digit give none.
     """
+    clash = set(keys) & {"seq", "start", "end", "cited", "number", "kind", "range_endpoint", "guard", "before"}
+    if clash:
+        raise ValueError(f"keys may not be named {', '.join(sorted(clash))}")
     fields = {f.name: f.dataType for f in blocks.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -153,3 +153,18 @@ def upsert(stored: DataFrame, new: DataFrame, key: str, keep_if_empty: Sequence[
         value = F.coalesce(fresh, F.col(c)) if c == key or c in keep_if_empty else F.when(F.col("__there"), fresh).otherwise(F.col(c))
         cols.append(value.alias(c))
     return stored.join(n, F.col(key) == F.col(f"__{key}"), "full").select(*cols)
+
+
+def discover(listings: DataFrame, root: str) -> DataFrame:
+    """(volume, chapter, filename, url, is_index) of all files three levels below ``root``.
+
+    listings: (base, html), one row per directory page. Directories of volumes are told by a number in their name. A directory without a page gives nothing.
+    """
+    from statloom.operators.pages import directory_entries
+
+    e = directory_entries(listings, "base")
+    dirs = e.where("is_dir").select("base", "name", "url")
+    volumes = dirs.where((F.col("base") == root) & F.col("name").rlike("[0-9]")).select(F.regexp_extract("name", "([0-9]+)", 1).cast("int").alias("volume"), F.col("url").alias("v"))
+    chapters = dirs.join(volumes, F.col("base") == F.col("v")).select("volume", I.chapter_of_directory(F.col("name")).alias("chapter"), F.col("url").alias("c"))
+    files = e.where("not is_dir").select("base", F.col("name").alias("filename"), "url")
+    return files.join(chapters, F.col("base") == F.col("c")).select("volume", "chapter", "filename", "url", I.is_index_file(F.col("filename")).alias("is_index"))

@@ -663,3 +663,174 @@ def x1_search(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def x2_snippets(spark: SparkSession, d: str) -> DataFrame:
     return S.search(table(spark, d, "parsed"), '"fire alarm" -repealed', key="record_id", annotations="annotations")
+
+
+# --- more of citations, aggregates and pages ----------------------------------------------------
+
+
+def _noted(spark: SparkSession, d: str) -> DataFrame:
+    """The citing corpus with its bodies as annotations under headings of several kinds."""
+    c = citing_corpus(spark, d)
+    k = F.regexp_extract("sectionNumber", "-([0-9]+)", 1).cast("long") % 3
+    head = F.when(k == 0, "Case Notes").when(k == 1, "Attorney General Opinions").otherwise("Revision Note")
+    return c.withColumn("annotations", F.array(F.struct(head.alias("heading"), F.col("bodyText").alias("text"))))
+
+
+@query(f"WITH {_CITES} SELECT bucket, reason, count(*) AS n FROM (SELECT 'body' AS bucket, reason FROM c UNION ALL SELECT CASE o % 3 WHEN 0 THEN 'Case Notes' WHEN 1 THEN 'Attorney General Opinions' ELSE 'other' END, reason FROM c) GROUP BY ALL")
+def a3_tally_by_bucket(spark: SparkSession, d: str) -> DataFrame:
+    """Counts by bucket (body, or the kind of annotation) and reason."""
+    s = _noted(spark, d)
+    notes = s.select(F.col("sectionNumber").alias("source"), X.note_kind(F.col("annotations")[0]["heading"]).alias("bucket"), F.col("annotations")[0]["text"].alias("text"))
+    blocks = notes.unionByName(s.select(F.col("sectionNumber").alias("source"), F.lit("body").alias("bucket"), F.col("bodyText").alias("text")))
+    return C.tally(C.resolve(C.detect(blocks, ["source", "bucket"], "text"), *order_targets(spark, d)), "bucket")
+
+
+@query("SELECT o_orderkey, (o_orderkey % 200 + 1) || '-' || (CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + 50000000 ELSE o_orderkey END) AS number, '§' || (o_orderkey % 200 + 1) || '-' || o_orderkey AS target FROM orders")
+def j3_alias_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the numbers are wrong ones that the ledger corrects."""
+    sec, ch = order_targets(spark, d)
+    k = F.col("o_orderkey")
+    c = F.concat((k % CHAPTERS + 1).cast("string"), F.lit("-"))
+    o = table(spark, d, "orders").select("o_orderkey", F.concat(c, F.when(k % 2 == 0, k + 50_000_000).otherwise(k).cast("string")).alias("n"), F.concat(c, k.cast("string")).alias("right"))
+    aliases = K.number_aliases(o.where("o_orderkey % 2 = 0").select(F.concat(F.lit("§"), "n").alias("observed"), F.concat(F.lit("§"), "right").alias("corrected"), F.lit("sectionNumber").alias("field"), F.lit("conclusive").alias("confidence")))
+    found = C.detect(o.select("o_orderkey", F.concat(F.lit("see section "), "n", F.lit(".")).alias("text")), ["o_orderkey"], "text")
+    return C.resolve(found, sec, ch, aliases).select("o_orderkey", "number", "target")
+
+
+@query("SELECT state, count(*) AS n FROM (" + SQL["k9_changed_rows"] + ") GROUP BY state")
+def a16_run_counters(spark: SparkSession, d: str) -> DataFrame:
+    return k9_changed_rows(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT record_id, regexp_replace(substring(bodyText, greatest(0, p - 41) + 1, (p + 4 + 40) - greatest(0, p - 41)), '[ \\t\\n\\x{0b}\\f\\r]+', ' ', 'g') AS sample FROM (SELECT record_id, bodyText, strpos(bodyText, 'shall') AS p FROM parsed) WHERE p > 0")
+def f23_samples(spark: SparkSession, d: str) -> DataFrame:
+    p = F.instr(F.col("bodyText"), "shall")
+    return table(spark, d, "parsed").where(p > 0).select("record_id", X.sample(F.col("bodyText"), p - 1, p + 4).alias("sample"))
+
+
+@query("SELECT record_id, CASE WHEN regexp_matches(title, '^\\[[^\\[\\]]+\\]$') THEN trim(title[2:-2]) ELSE title END AS title, starts_with(sectionNumber, '[') AS heading_supplied, regexp_matches(title, '^\\[[^\\[\\]]+\\]$') AS title_supplied FROM parsed WHERE title IS NOT NULL AND sectionNumber IS NOT NULL")
+def f27_unwrapped_titles(spark: SparkSession, d: str) -> DataFrame:
+    t = X.unwrap_title(F.col("sectionNumber"), F.col("title"))
+    return table(spark, d, "parsed").where("title is not null and sectionNumber is not null").select("record_id", t.alias("t")).select("record_id", "t.title", "t.heading_supplied", "t.title_supplied")
+
+
+@query("SELECT record_id, coalesce(trim(partHeading) <> '' AND length(trim(partHeading)) <= 90 AND NOT regexp_matches(partHeading, '[a-z]') AND NOT regexp_matches(trim(partHeading), '(?i)^\\[?\\s*(PART|SUBPART|ARTICLE|DIVISION|TITLE|CHAPTER)\\s+[IVXLCDM0-9]'), false) AS part_is_catchline, coalesce(trim(upper(title)) <> '' AND length(trim(title)) <= 90 AND NOT regexp_matches(trim(upper(title)), '(?i)^\\[?\\s*(PART|SUBPART|ARTICLE|DIVISION|TITLE|CHAPTER)\\s+[IVXLCDM0-9]') AND NOT regexp_matches(upper(title), '[a-z]'), false) AS title_is_catchline FROM parsed")
+def f28_catchlines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "parsed").select("record_id", X.is_catchline(F.col("partHeading")).alias("part_is_catchline"), X.is_catchline(F.upper("title")).alias("title_is_catchline"))
+
+
+@query("SELECT chapter_key, volume, last_value(CASE WHEN n % 40 = 1 THEN 'Division ' || n END IGNORE NULLS) OVER (ORDER BY n ROWS UNBOUNDED PRECEDING) AS division FROM (SELECT *, row_number() OVER (ORDER BY " + sql_natural("chapter_key", 6) + ", chapter_key) AS n FROM chapters)")
+def w4_divisions(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "chapters").select("chapter_key", "volume", F.row_number().over(Window.orderBy(I.natural_key(F.col("chapter_key"), 6), "chapter_key")).alias("n"))
+    c = c.withColumn("d", F.when(F.col("n") % 40 == 1, F.concat(F.lit("Division "), F.col("n").cast("string"))))
+    return L.require_carried(L.carry_forward(c, "d", ["n"], None, "division"), "division", "chapter_key").select("chapter_key", "volume", "division")
+
+
+@query(f"WITH {_WORDS}, v AS (SELECT word FROM counts WHERE freq >= 3) SELECT DISTINCT q AS word FROM (SELECT substring(word, 1, 5) AS q FROM counts) JOIN v ON starts_with(v.word, q) AND length(v.word) <= length(q) + 12")
+def j21_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    counts = S.word_counts(table(spark, d, "parsed"))
+    return S.being_typed(counts.select(F.substring("word", 1, 5).alias("word")).distinct(), S.vocabulary(counts))
+
+
+@query("SELECT 'asked ' || word || ' law' AS query, 'asked ' || suggestion || ' law' AS fixed FROM (" + SQL["x6_suggestions"] + ")")
+def x7_fixed_queries(spark: SparkSession, d: str) -> DataFrame:
+    s = x6_suggestions(spark, d)
+    return S.apply_fix(s.select(F.concat(F.lit("asked "), "word", F.lit(" law")).alias("query"), F.col("word").alias("unknown"), "suggestion"))
+
+
+@query("SELECT chapter_key AS chapter, '{\"title\":\"' || title || '\",\"volume\":' || volume || '}' AS json FROM chapters")
+def k2_chapter_map(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "chapters").select(F.col("chapter_key").alias("chapter"), "title", "volume", F.lit("").alias("notes"), F.array().cast("array<struct<heading:string,text:string>>").alias("annotations"))
+    return W.chapter_map(c)
+
+
+@query("SELECT c.volume, c.chapter_key AS chapter, 'HRS_' || lpad(c.chapter_key, 4, '0') || '-.htm' AS filename, 'https://code.example.org/Vol' || c.volume || '/' || c.dir_name || '/HRS_' || lpad(c.chapter_key, 4, '0') || '-.htm' AS url, true AS is_index FROM chapters c")
+def s9_discovery(spark: SparkSession, d: str) -> DataFrame:
+    """Directory pages written from the inventory, crawled again."""
+    root = "https://code.example.org/"
+    c = table(spark, d, "chapters").select("volume", "dir_name", F.concat(F.lit("HRS_"), F.lpad("chapter_key", 4, "0"), F.lit("-.htm")).alias("f"))
+    up, link = F.lit('<a href="../">[To Parent Directory]</a>'), lambda x: F.concat(F.lit('<br><A HREF="'), x, F.lit('">x</A>'))
+    vol = F.concat(F.lit(root + "Vol"), F.col("volume").cast("string"), F.lit("/"))
+    files = c.select(F.concat(vol, "dir_name", F.lit("/")).alias("base"), F.concat(up, link(F.col("f"))).alias("html"))
+    dirs = c.groupBy("volume").agg(F.array_join(F.sort_array(F.collect_list(link(F.concat("dir_name", F.lit("/"))))), "").alias("h")).select(vol.alias("base"), F.concat(up, "h").alias("html"))
+    top = c.agg(F.array_join(F.sort_array(F.collect_set(link(F.concat(F.lit("/Vol"), F.col("volume").cast("string"), F.lit("/"))))), "").alias("html")).select(F.lit(root).alias("base"), "html")
+    return V.discover(files.unionByName(dirs).unionByName(top), root)
+
+
+@query()
+def r2_section_pages(spark: SparkSession, d: str) -> DataFrame:
+    from statloom.operators.render import section_pages
+
+    s = sections(spark, d).drop("sectionNumber").withColumn("history", F.coalesce("history", F.lit("")))
+    named = s.withColumn("sectionNumber", F.col("number"))
+    b = named.select(F.col("number").alias("section"), F.explode(F.array(F.struct(F.lit("title").alias("part"), F.col("title").alias("text")), F.struct(F.lit("body").alias("part"), F.col("bodyText").alias("text")))).alias("x")).select("section", "x.part", "x.text").where("text <> ''")
+    t, c = live_targets(spark, d), chapter_targets(spark, d)
+    html = L.linked(b, C.resolve(C.detect(b, ["section", "part"], "text"), t, c), ["section", "part"], "text")
+    bodies = html.groupBy(F.col("section").alias("number")).agg(F.max(F.when(F.col("part") == "title", F.col("html"))).alias("title_html"), F.max(F.when(F.col("part") == "body", F.col("html"))).alias("body_html"))
+    cited = L.cited_by(G.build_graph(named, t, c), t.select("number", F.col("number").alias("label"), "title"))
+    return section_pages(s, bodies, cited, c.select(F.col("key").alias("chapter"), "title"))
+
+
+@query()
+def r3_chapter_pages(spark: SparkSession, d: str) -> DataFrame:
+    from statloom.operators.render import chapter_pages
+
+    return chapter_pages(sections(spark, d), chapter_targets(spark, d).select(F.col("key").alias("chapter"), "title"))
+
+
+@query("SELECT '/hrs/volume/' || volume AS path, count(*) AS links FROM chapters GROUP BY volume")
+def r4_volume_pages(spark: SparkSession, d: str) -> DataFrame:
+    from statloom.operators.render import volume_pages
+
+    v = volume_pages(table(spark, d, "chapters").select("volume", F.col("chapter_key").alias("chapter"), "title"))
+    return v.select("path", F.size(F.regexp_extract_all("html", F.lit('href="/hrs/chapter/[^"]+"'), F.lit(0))).cast("long").alias("links"))
+
+
+@query("SELECT '/' AS path, count(DISTINCT volume) AS volumes FROM chapters")
+def r7_home_page(spark: SparkSession, d: str) -> DataFrame:
+    from statloom.operators.render import home_page
+
+    h = home_page(table(spark, d, "parsed"), table(spark, d, "chapters"))
+    return h.select("path", F.size(F.regexp_extract_all("html", F.lit('href="/hrs/volume/[0-9]+"'), F.lit(0))).cast("long").alias("volumes"))
+
+
+@query()
+def r8_cited_by(spark: SparkSession, d: str) -> DataFrame:
+    e = _edges(spark, d)
+    sec, _ = order_targets(spark, d)
+    return L.cited_by(e, sec.select("number", F.col("number").alias("label"), "title"), 5)
+
+
+@query()
+def d22_title_banners(spark: SparkSession, d: str) -> DataFrame:
+    """Title pages written from the inventory, read again."""
+    c = table(spark, d, "chapters")
+    row = F.concat(F.lit("<p class=RegularParagraphs>"), "chapter_key", F.lit(" "), "title", F.lit("</p>"))
+    rows = c.groupBy("volume").agg(F.array_join(F.sort_array(F.collect_list(row)), "").alias("h"))
+    v = F.col("volume").cast("string")
+    html = F.concat(F.lit("<body><p class=RegularParagraphs>DIVISION "), v, F.lit(". NAME</p><p class=RegularParagraphs>TITLE "), v, F.lit(". FIRST</p><p class=RegularParagraphs>AND SECOND LINE</p><p class=RegularParagraphs>Chapter</p>"), "h", F.lit("</body>"))
+    t = P.parse_title_banners(rows.select("volume", html.alias("html")), "volume")
+    return t.select("volume", "number", "name", "division_number", F.aggregate("listing", F.lit(0), lambda s, g: s + F.size(g["chapters"])).cast("long").alias("chapters"))
+
+
+SQL["d22_title_banners"] = "SELECT volume, volume::VARCHAR AS number, 'FIRST AND SECOND LINE' AS name, volume AS division_number, count(*) AS chapters FROM chapters GROUP BY volume"
+
+
+@query("SELECT chapter_key AS chapter, chapter_key || '-' || n AS number, 'Row ' || n || ' of ' || title AS row_title, n AS pos FROM chapters, (SELECT unnest(range(1, 4)) AS n)")
+def d23_section_listings(spark: SparkSession, d: str) -> DataFrame:
+    """Chapter index pages written from the inventory, their listings read again; rows are wrapped over two paragraphs."""
+    k = F.col("chapter_key")
+    row = lambda n: F.concat(F.lit("<p>"), k, F.lit(f"-{n} Row {n} of</p><p>"), "title", F.lit("</p>"))
+    html = F.concat(F.lit("<p>CHAPTER "), k, F.lit("</p><p>NAME</p><p>Section</p>"), row(1), F.lit("<p class=XNotes>Note</p><p>PART II</p>"), row(2), row(3))
+    return P.parse_listings(table(spark, d, "chapters").select(k.alias("chapter"), html.alias("html")))
+
+
+@query()
+def d21_chapter_indexes(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("chapter_key")
+    html = F.concat(F.lit("<p>CHAPTER "), k, F.lit("</p><p>"), "title", F.lit("</p><p>A note.</p><p class=XNotesHeading>Note</p><p class=XNotes>Text</p><p>Section</p><p>"), k, F.lit("-1 Row</p>"))
+    c = P.parse_chapter_indexes(table(spark, d, "chapters").select(k.alias("chapter"), html.alias("html")), "chapter")
+    return c.select("chapter", "title", "notes", F.size("annotations").cast("long").alias("annotations"))
+
+
+SQL["d21_chapter_indexes"] = "SELECT chapter_key AS chapter, title, 'A note.' AS notes, 1 AS annotations FROM chapters"

@@ -99,3 +99,17 @@ def migrate(spark: SparkSession, database: str = "default") -> list[str]:
     for name, columns in DDL.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
     return sorted(DDL)
+
+
+def hierarchy_json(divisions: DataFrame, titles: DataFrame) -> DataFrame:
+    """One row: divisions and titles in order as one JSON text; empty fields left out."""
+    d = divisions.agg(F.sort_array(F.collect_list(F.struct("number", "name"))).alias("divisions"))
+    t = titles.agg(F.transform(F.sort_array(F.collect_list(F.struct(natural_key(F.col("number"), 6).alias("k"), F.struct(*titles.columns).alias("t")))), lambda x: x["t"]).alias("titles"))
+    return d.withColumn("one", F.lit(1)).join(t.withColumn("one", F.lit(1)), "one").select(F.to_json(F.struct("divisions", "titles")).alias("json"))
+
+
+def write_pages(pages: DataFrame, root: str, owned: bool = True) -> None:
+    """Pages as a table partitioned by their first directory. A full build owns all of it; a part writes only its own partitions."""
+    p = pages.select("path", "html", F.regexp_extract("path", "^/([^/]*)", 1).alias("top"))
+    w = p.write.mode("overwrite").partitionBy("top")
+    (w if owned else w.option("partitionOverwriteMode", "dynamic")).parquet(root)
