@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions.identity import natural_key
@@ -53,24 +53,25 @@ def most_cited(edges: DataFrame, k: int = 20) -> DataFrame:
     return n.orderBy(F.desc("n"), natural_key(F.col("node")), "node").limit(k)
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
-    """(node, cites, cited_by): sorted lists by natural order, null where a side is empty; a sink's form.
+def adjacency(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
+    """(node, part, cites, citedBy): sorted lists by natural order, null where a side is empty; a sink's form.
 
-    A node's lists are as long as its degree: this is for output; the edges themselves are the graph.
+    A row holds ``part_size`` edges of a side at most: nodes that very many others cite take several parts, numbered from 0.
     """
 
     def side(own: str, other: str, name: str) -> DataFrame:
-        e = F.struct(natural_key(F.col(other)).alias("k"), F.col(other).alias("n"), F.col("block"), F.col("kind"))
-        g = edges.groupBy(F.col(own).alias("node")).agg(F.sort_array(F.collect_list(e)).alias("l"))
-        return g.select("node", F.transform("l", lambda x: F.struct(x["n"].alias("from" if other == "from" else "to"), x["kind"].alias("kind"), x["block"].alias("block"))).alias(name))
+        by = Window.partitionBy(own).orderBy(natural_key(F.col(other)), other, "block")
+        e = F.struct("at", F.col(other).alias("n"), F.col("block"), F.col("kind"))
+        g = edges.withColumn("at", F.row_number().over(by) - 1).groupBy(F.col(own).alias("node"), F.floor(F.col("at") / part_size).alias("part")).agg(F.sort_array(F.collect_list(e)).alias("l"))
+        return g.select("node", "part", F.transform("l", lambda x: F.struct(x["n"].alias("from" if other == "from" else "to"), x["kind"].alias("kind"), x["block"].alias("block"))).alias(name))
 
-    return side("from", "to", "cites").join(side("to", "from", "citedBy"), "node", "full")
+    return side("from", "to", "cites").join(side("to", "from", "citedBy"), ["node", "part"], "full")
 
 
 def graph_json(edges: DataFrame) -> DataFrame:
-    """(node, json) lines of the graph in natural order of nodes; the empty side of a node is left out."""
+    """(node, part, json) lines of the graph in natural order of nodes; the empty side of a node is left out."""
     a = adjacency(edges)
-    return a.select("node", natural_key(F.col("node")).alias("k"), F.to_json(F.struct("cites", "citedBy"), {"ignoreNullFields": "true"}).alias("json")).orderBy("k", "node").select("node", "json")
+    return a.select("node", "part", natural_key(F.col("node")).alias("k"), F.to_json(F.struct("cites", "citedBy"), {"ignoreNullFields": "true"}).alias("json")).orderBy("k", "node", "part").select("node", "part", "json")
 
 
 def nodes(edges: DataFrame) -> DataFrame:

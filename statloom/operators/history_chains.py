@@ -7,10 +7,11 @@ intervals are rebuilt, and their chains take the place of the old ones in one wr
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.functions.norm import same_text, section_key
@@ -58,6 +59,51 @@ def apply_late_changes(chains: DataFrame, changes: DataFrame, touched: DataFrame
     return kept.unionByName(again)
 
 
+# --- a stored set of chains, replaced as a whole -------------------------------------------------
+
+
+class ChainStore:
+    """Versions of a chain table under one folder; readers see the last committed one.
+
+    A version is written beside the others and becomes current by the rename of one small file, which either happens or doesn't:
+    a writer that is lost on the way leaves the old version in place, and of two writers at once one fails.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._p("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _p(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def version(self) -> int:
+        """Number of the current version, 0 if there is none."""
+        if not self._fs.exists(self._p("_committed")):
+            return 0
+        return max((int(f.getPath().getName()) for f in self._fs.listStatus(self._p("_committed"))), default=0)
+
+    def read(self) -> DataFrame | None:
+        v = self.version()
+        return self.spark.read.parquet(f"{self.path}/v{v}") if v else None
+
+    def replace(self, chains: DataFrame) -> int:
+        """Makes ``chains`` (which may be made from the current version) the current version."""
+        v = self.version() + 1
+        chains.write.mode("overwrite").parquet(f"{self.path}/v{v}")
+        mark = self._p(f"_pending/{v}-{uuid.uuid4().hex}")
+        self._fs.create(mark, False).close()
+        self._fs.mkdirs(self._p("_committed"))
+        if self._fs.exists(self._p(f"_committed/{v}")) or not self._fs.rename(mark, self._p(f"_committed/{v}")):
+            raise RuntimeError(f"version {v} was committed by another writer")
+        return v
+
+    def apply_late(self, changes: DataFrame, touched: DataFrame, entity: str, step: str, order: Sequence[str], values: Sequence[str]) -> int:
+        """Rebuilds the touched entities' chains and replaces the table; all chains if there is no version yet."""
+        now = self.read()
+        return self.replace(build_chains(changes, entity, step, order, values) if now is None else apply_late_changes(now, changes, touched, entity, step, order, values))
+
+
 # --- snapshots of the code ---------------------------------------------------------------------
 
 

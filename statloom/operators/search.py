@@ -87,8 +87,8 @@ def suggestions(queries: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def being_typed(queries: DataFrame, vocab: DataFrame, more: int = 12) -> DataFrame:
     """Query words with which some vocabulary word of at most ``more`` further letters begins."""
-    lengths = queries.select(F.length("word").alias("n")).distinct()
-    heads = vocab.select(F.col("word").alias("v")).join(lengths, (F.length("v") >= F.col("n")) & (F.length("v") <= F.col("n") + more)).select(F.expr("substring(v, 1, n)").alias("word")).distinct()
+    n = F.explode(F.sequence(F.greatest(F.lit(1), F.length("word") - more), F.length("word"))).alias("n")
+    heads = vocab.select("word", n).where("n > 0").select(F.expr("substring(word, 1, n)").alias("word")).distinct()
     return queries.join(heads, "word", "left_semi")
 
 

@@ -586,7 +586,7 @@ def w5_folded_lists(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_CITES}, {_EDGES} SELECT node, max(cites)::BIGINT AS cites, max(cited_by)::BIGINT AS cited_by FROM (SELECT \"from\" AS node, count(*) AS cites, 0 AS cited_by FROM edges GROUP BY 1 UNION ALL SELECT \"to\", 0, count(*) FROM edges GROUP BY 1) GROUP BY node")
 def g6_adjacency(spark: SparkSession, d: str) -> DataFrame:
     size = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")
-    return G.adjacency(_edges(spark, d)).select("node", size("cites").alias("cites"), size("citedBy").alias("cited_by"))
+    return G.adjacency(_edges(spark, d)).groupBy("node").agg(F.sum(size("cites")).alias("cites"), F.sum(size("citedBy")).alias("cited_by"))
 
 
 @query()

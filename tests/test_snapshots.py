@@ -5,7 +5,7 @@ import unicodedata
 from datetime import datetime, timedelta
 
 import pytest
-from statloom.operators.history_chains import build_chains, section_versions
+from statloom.operators.history_chains import ChainStore, build_chains, section_versions
 from statloom.operators.snapshot_diff import diff_snapshots, section_changes
 from statloom.runtime import table
 
@@ -116,3 +116,19 @@ def test_diff_of_many_keys_discards_equal_chunks(spark):
     rows = [(f"k{i:04d}", n, i if (i, n) != (700, 2) else -1, 0) for n in (1, 2) for i in range(1000) if (i, n) not in {(5, 1), (999, 2)}]
     df = spark.createDataFrame(rows, "k string, n int, a long, b long")
     assert {tuple(r) for r in diff_snapshots(df, "k", "n", ("a", "b")).collect()} == {("k0005", 2, "added"), ("k0700", 2, "changed"), ("k0999", 2, "removed")}
+
+
+def test_store_replaces_touched_chains_at_once(spark, tmp_path):
+    schema, how = "e string, n int, t int, v string", ("e", "n", ["t"], ["v"])
+    first = [("a", 1, 1, "x"), ("a", 2, 1, "x"), ("b", 1, 1, "y"), ("b", 2, 1, "z")]
+    late = [("a", 2, 2, "w"), ("c", 2, 2, "n")]
+    store = ChainStore(spark, f"file://{tmp_path}/chains")
+    assert store.read() is None
+    df = spark.createDataFrame(first, schema)
+    assert store.apply_late(df, df, *how) == 1
+    all_ = spark.createDataFrame(first + late, schema)
+    assert store.apply_late(all_, spark.createDataFrame(late, schema), *how) == 2
+    rows = lambda d: sorted(tuple(r) for r in d.select("e", "first_n", "last_n", "v").collect())
+    assert rows(store.read()) == rows(build_chains(all_, *how)) == [("a", 1, 1, "x"), ("a", 2, 2, "w"), ("b", 1, 1, "y"), ("b", 2, 2, "z"), ("c", 2, 2, "n")]
+    spark.createDataFrame([("lost", 1, 1, "x")], schema).write.parquet(f"{tmp_path}/chains/v3")  # a writer that died before its commit
+    assert store.version() == 2 and store.replace(store.read()) == 3 and len(rows(store.read())) == 5
