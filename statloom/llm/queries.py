@@ -99,16 +99,24 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
 
 _PASSAGE = "regexp_extract_all(lower(coalesce({c}, '')), '[\\p{{L}}\\p{{N}}]+')"
-SQL: dict[str, str] = {
-    "p5_found": f"""WITH w AS (SELECT record_id, {_PASSAGE.format(c="coalesce(title, '') || ' ' || coalesce(bodyText, '')")} AS w FROM parsed),
+_RECORDS = f"""w AS (SELECT record_id, {_PASSAGE.format(c="coalesce(title, '') || ' ' || coalesce(bodyText, '')")} AS w FROM parsed),
 s AS (SELECT DISTINCT record_id, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' '))) AS s FROM w WHERE len(w) >= 40),
-n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_id AS a, b.record_id AS b, count(*) AS m FROM s a JOIN s b ON a.s = b.s AND a.record_id < b.record_id GROUP BY ALL)
-SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m)""",
+n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_id AS a, b.record_id AS b, count(*) AS m FROM s a JOIN s b ON a.s = b.s AND a.record_id < b.record_id GROUP BY ALL),
+f AS (SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m))"""
+_GRAMS = "s AS (SELECT doc_id, k, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)), m AS (SELECT h FROM s GROUP BY h HAVING count(DISTINCT doc_id) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))"
+SQL: dict[str, str] = {
+    "p5_found": f"WITH {_RECORDS} SELECT * FROM f",
+    "p5_groups": f"""WITH RECURSIVE {_RECORDS}, c AS (SELECT record_id, CASE WHEN len(w) >= 40 THEN min(record_id) OVER (PARTITION BY w) ELSE record_id END AS class_id, CASE WHEN len(w) >= 40 THEN count(*) OVER (PARTITION BY w) ELSE 1 END AS copies FROM w),
+l AS (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM (SELECT * FROM f UNION ALL SELECT record_id_b, record_id_a FROM f) f JOIN c x ON x.record_id = f.record_id_a JOIN c y ON y.record_id = f.record_id_b WHERE x.class_id <> y.class_id),
+g AS (SELECT class_id AS a, class_id AS b FROM c UNION SELECT g.a, l.b FROM g JOIN l ON g.b = l.a)
+SELECT record_id, class_id, copies, (SELECT count(*) FROM l WHERE l.a = class_id) AS n_links, (SELECT min(b) FROM g WHERE g.a = class_id) AS group_id FROM c""",
     "p8_found": f"""WITH d AS (SELECT doc_id, {_PASSAGE.format(c="text")} AS w FROM documents), i AS (SELECT item_id, {_PASSAGE.format(c="passage")} AS w FROM eval_items),
 g AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM i WHERE len(w) >= 13),
 h AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM d WHERE len(w) >= 13)
 SELECT DISTINCT item_id, doc_id FROM g JOIN h USING (s)""",
-    "p9_found": """WITH s AS (SELECT DISTINCT doc_id, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)),
-m AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))
-SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.h = b.h AND a.doc_id < b.doc_id""",
+    "p9_found": f"WITH {_GRAMS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.h = b.h AND a.doc_id < b.doc_id",
+    "p9_coverage": f"""WITH {_GRAMS}, c AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS class_id, CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies FROM documents),
+v AS (SELECT doc_id, sum(least(400, coalesce(e - k, 400)))::BIGINT AS n FROM (SELECT doc_id, k, lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS e FROM t) GROUP BY 1),
+l AS (SELECT x.class_id AS a, count(DISTINCT y.class_id) AS n FROM t a JOIN t b ON a.h = b.h JOIN c x ON x.doc_id = a.doc_id JOIN c y ON y.doc_id = b.doc_id WHERE x.class_id <> y.class_id GROUP BY 1)
+SELECT c.doc_id, class_id, copies, coalesce(l.n, 0) AS n_links, coalesce(length(text), 0) AS n_chars, coalesce(v.n, 0) AS shared_chars FROM c LEFT JOIN v USING (doc_id) LEFT JOIN l ON l.a = class_id""",
 }
