@@ -146,11 +146,12 @@ class Index:
             got = set(self.retrieve(sorted(terms)))
             if not got:
                 continue
-            ways: dict[tuple[int, int], int] = {}
+            ways: dict[tuple[int, int], tuple[int, int]] = {}  # by item and alignment: where the run goes on, its words
             for p in range(len(stretch) - run + 1):
                 for i, q in self.grams.get(tuple(stretch[p : p + run]), ()):
                     if i in got:
-                        ways[i, p - q] = n = ways.get((i, p - q), run - 1) + 1
+                        at, n = ways.get((i, p - q), (-1, 0))
+                        ways[i, p - q] = (p + 1, n := n + 1 if at == p else run)
                         out[i] = max(out.get(i, 0), n)
         spaced = " " + " ".join(text) + " "
         return {self.ids[i]: (n, bool(self.answers[i]) and " " + " ".join(self.answers[i]) + " " in spaced) for i, n in out.items()}
@@ -159,7 +160,7 @@ class Index:
 def leaked_items(docs: DataFrame, items: DataFrame, how: Leaks = Leaks()) -> DataFrame:
     """(item_id, doc_id, n_words, answer_found) of every document that holds ``run`` words of an item in a row.
 
-    n_words: the longest run on one alignment (parts of a text between stretches that can't match are not joined).
+    n_words: the longest run of the item's words in the document.
     answer_found: the document has the answer's words in a row; false if there is no answer. Items with fewer than ``run`` words
     can't leak. Null or empty passages and texts give no row; equal documents and equal items each give their own rows. No shuffle:
     documents stay where they were read.

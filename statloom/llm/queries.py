@@ -114,6 +114,12 @@ SELECT record_id, class_id, copies, (SELECT count(*) FROM l WHERE l.a = class_id
 g AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM i WHERE len(w) >= 13),
 h AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS s FROM d WHERE len(w) >= 13)
 SELECT DISTINCT item_id, doc_id FROM g JOIN h USING (s)""",
+    "p8_by_item": f"""WITH d AS (SELECT doc_id, {_PASSAGE.format(c="text")} AS w FROM documents), i AS (SELECT item_id, {_PASSAGE.format(c="passage")} AS w, array_to_string({_PASSAGE.format(c="answer")}, ' ') AS a FROM eval_items),
+g AS (SELECT item_id, k AS ik, array_to_string(w[k:k + 12], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i WHERE len(w) >= 13)),
+h AS (SELECT doc_id, k AS dk, array_to_string(w[k:k + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d WHERE len(w) >= 13)),
+j AS (SELECT item_id, doc_id, dk - ik AS way, dk - row_number() OVER (PARTITION BY item_id, doc_id, dk - ik ORDER BY dk) AS island FROM g JOIN h USING (s)),
+r AS (SELECT item_id, doc_id, max(n) AS n FROM (SELECT item_id, doc_id, way, island, count(*) + 12 AS n FROM j GROUP BY ALL) GROUP BY ALL)
+SELECT item_id, count(*) AS n_docs, max(n) AS longest_run, count_if(a <> '' AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || a || ' ')) AS n_docs_with_answer FROM r JOIN d USING (doc_id) JOIN i USING (item_id) GROUP BY item_id""",
     "p9_found": f"WITH {_GRAMS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.h = b.h AND a.doc_id < b.doc_id",
     "p9_coverage": f"""WITH {_GRAMS}, c AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS class_id, CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies FROM documents),
 v AS (SELECT doc_id, sum(least(400, coalesce(e - k, 400)))::BIGINT AS n FROM (SELECT doc_id, k, lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS e FROM t) GROUP BY 1),
