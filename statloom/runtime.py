@@ -55,6 +55,14 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch tables that this session has made so far; for use between jobs, when no result is read any more."""
+    root = _made.pop(spark.sparkContext.applicationId, None)
+    if root:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(df: DataFrame) -> None:
     """Delete the scratch table behind a frame that ``materialize`` returned."""
     spark = df.sparkSession
