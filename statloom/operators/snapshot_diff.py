@@ -61,7 +61,7 @@ def diff_snapshots(rows: DataFrame, key: str, step: str, digests: tuple[str, str
     steps = sums.groupBy(step).agg(F.lit(1).alias("__there"))
     both = steps.select(step).join(steps.select((F.col(step) + 1).alias(step)), step, "left_semi")  # snapshots with a neighbour before
     open_ = old.join(sums, ["chunk", step], "full").where(~(F.col("__n").eqNullSafe(F.col("__m")) & F.col("__x").eqNullSafe(F.col("__u")) & F.col("__y").eqNullSafe(F.col("__w")))).select("chunk", step)
-    open_ = open_.join(F.broadcast(both), step, "left_semi")  # one row per snapshot
+    open_ = open_.join(both, step, "left_semi")
     new = chunked.join(open_, ["chunk", step], "left_semi").select(key, step, F.col(a).alias("__a"), F.col(b).alias("__b"))
     before = chunked.withColumn(step, F.col(step) + 1).join(open_, ["chunk", step], "left_semi").select(key, step, F.col(a).alias("__c"), F.col(b).alias("__d"))
     kind = F.when(F.col("__c").isNull(), "added").when(F.col("__a").isNull(), "removed").when((F.col("__a") != F.col("__c")) | (F.col("__b") != F.col("__d")), "changed")
