@@ -34,6 +34,8 @@ FOREIGN_AFTER = re.compile(
 )
 BEFORE, AFTER = 60, 70
 
+#: Widths, in bits, of the blocks by which sections within a range are looked up.
+BLOCK_BITS = (3, 6, 9, 12, 16, 20)
 REASONS = ("bare-number", "foreign-law", "admin-rules", "superseded", "absent-section", "unresolved")
 
 
@@ -152,9 +154,15 @@ def range_members(found: DataFrame, sections: DataFrame, unit: Sequence[str]) ->
     ends = found.where("range_endpoint and kind = 'section' and before is not null").select(*unit, "seq", "number", F.col("before").alias("__from"))
     lo, hi = part("__from", 2).try_cast("long"), part("number", 2).try_cast("long")
     ends = ends.withColumns({"__c": part("number", 1), "__lo": lo, "__hi": hi}).where((F.col("__c") != "") & (F.col("__c") == part("__from", 1)) & (F.col("__hi") - F.col("__lo") > 1))
-    known = sections.select(F.col("key"), F.col("number").alias("target")).withColumns({"__k": part("key", 1), "__n": part("key", 2).try_cast("long")}).where("__k <> ''")
-    # a range join on one chapter: the inventory's numbers, not the range's, are looked through
-    return ends.join(known, (F.col("__c") == F.col("__k")) & (F.col("__n") > F.col("__lo")) & (F.col("__n") < F.col("__hi"))).where(F.concat_ws("-", "__c", F.col("__n").cast("string")) == F.col("key")).select(*unit, "seq", F.col("target").alias("number"))
+    known = sections.select(F.col("key"), F.col("number").alias("target")).withColumns({"__k": part("key", 1), "__n": part("key", 2).try_cast("long")}).where("__k <> '' and __n is not null")
+    # an interval join by blocks of the number line: a range takes the smallest blocks at least as wide as itself, one or two of them
+    width = F.col("__hi") - F.col("__lo")
+    bits = F.coalesce(*(F.when(width <= (1 << w), w) for w in BLOCK_BITS), F.lit(63))
+    block = lambda n, w: F.when(w >= 63, F.lit(0)).otherwise(F.floor(n / F.pow(F.lit(2.0), w))).cast("long")
+    ends = ends.withColumn("__w", bits).withColumn("__b", F.explode(F.array_distinct(F.array(block(F.col("__lo"), F.col("__w")), block(F.col("__hi"), F.col("__w"))))))
+    known = known.withColumn("__v", F.explode(F.array(*(F.lit(w) for w in (*BLOCK_BITS, 63))))).withColumn("__d", block(F.col("__n"), F.col("__v")))
+    hit = ends.join(known, (F.col("__c") == F.col("__k")) & (F.col("__w") == F.col("__v")) & (F.col("__b") == F.col("__d")) & (F.col("__n") > F.col("__lo")) & (F.col("__n") < F.col("__hi")))
+    return hit.where(F.concat_ws("-", "__c", F.col("__n").cast("string")) == F.col("key")).select(*unit, "seq", F.col("target").alias("number"))
 
 
 def unresolved_report(resolved: DataFrame, text: Column, order: Sequence[str], k: int = 20) -> DataFrame:
