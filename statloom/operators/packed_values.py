@@ -49,6 +49,8 @@ END_BUCKETS = 1024
 END_WEIGHT, UNSEEN = 1e-3, 1e-9
 #: Cuts and gaps within values that each kind of gap counts before any is seen.
 GAP_PRIOR = 0.1
+#: Places between two anchors that a lattice looks at; a line with more of them there is no list of values any more.
+MOST_CUTS = 64
 
 
 @dataclass(frozen=True)
@@ -141,9 +143,17 @@ class Weights:
 _Arc = tuple[float, tuple[int, int, int]]
 
 
+def _likely(line: _Line, cuts: list[int], w: Weights) -> list[int]:
+    """All cuts; of more than MOST_CUTS between two anchors, those whose gaps part values most often, the earliest first."""
+    if len(cuts) <= MOST_CUTS:
+        return cuts
+    odds = [w.gap[_hash(_kind(line.gaps[i]), GAP_BUCKETS)] for i in cuts]
+    return sorted(sorted(cuts, key=dict(zip(cuts, odds, strict=True)).get, reverse=True)[:MOST_CUTS])
+
+
 def _lattice(line: _Line, w: Weights, buckets: int) -> tuple[list[list[int]], list[list[list[_Arc | None]]], list[list[int]]]:
     """Cut candidates; arcs by segment, from and to; the bucket of each cut's gap."""
-    cuts, last, pre = line.cuts(), len(line.folds) - 1, _prefix(line)
+    cuts, last, pre = [_likely(line, c, w) for c in line.cuts()], len(line.folds) - 1, _prefix(line)
     ends, begins = [*cuts, [last]], [[-1], *cuts]
     arcs = []
     for k in range(len(ends)):

@@ -70,3 +70,10 @@ def test_empty_table_and_other_anchor(spark):
 def test_very_long_line(spark, n):
     df = spark.createDataFrame([(1, "; ".join(f"am L 1990, c {i}, §1" for i in range(n)))], "record_id long, history string")
     assert enactment_clauses(df).count() == n
+
+
+def test_lines_that_are_mostly_separators(spark):
+    line = "am L 1990, c 1" + ", x; y" * 3000 + "; am L 1991, c 2" + ", 7" * 3000 + "; RL 1955, §1-2"
+    df = spark.createDataFrame([(1, line), (2, "L 1990, c 1; am L 1991, c 2"), (3, "," * 20000)], "record_id long, history string")
+    got = [tuple(r) for r in enactment_clauses(df).collect()]
+    assert sorted((k, p) for k, p, _ in got) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
