@@ -134,7 +134,7 @@ def pack_histogram(counts: dict[int, int], capacities: Sequence[int], spare: flo
 
 
 def _placed(patterns: list[Pattern], per_step: int) -> tuple[list[tuple], dict[int, tuple[int, int]]]:
-    """Rows (size, rank_from, rank_to, capacity, window_from, per, slot_offset, nth) and windows per capacity.
+    """Rows (size, rank_from, rank_to, capacity, window_from, times, slot) and (windows, step groups) per capacity.
 
     Windows of a capacity are numbered from 0, the fullest first.
     """
