@@ -79,7 +79,7 @@ def depths(paragraphs: Sequence[str]) -> list[int]:
             mark = m[1]
             if mark.isdigit():
                 kind = "digit"
-            elif len(mark) > 1 and (mark.isupper() or not mark.isupper()):
+            elif len(mark) > 1:
                 kind = "roman"
             elif mark.isupper():
                 kind = "upper"
