@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.norm import HYPHENS, SOFT, SPACE, section_key
+from statloom.runtime import materialize
 
 MATCH = ("partial", "simple", "full")
 
@@ -171,5 +172,6 @@ def law_orphans(parsed: DataFrame, targets: DataFrame, chapters: DataFrame) -> D
     """(record_id, ref_field, ref_kind, ref_key, reason, ref_month) of references that do not hold."""
     of = lambda df, key, kind: with_parts(df.select(section_key(F.col(key)).alias("k"), F.lit(kind).alias("kind"), "added_at", "dropped_at").dropna(subset=["k"]), "k", "kind")
     parents = {("chapter", "rest"): of(targets, "target_key", "section"), ("chapter",): of(chapters, "chapter_key", "chapter")}
-    o = orphan_references(law_references(parsed), parents, ["chapter", "rest"], "crawled_at")
+    refs = materialize(law_references(parsed), "references")  # each mask reads them; the texts are searched once
+    o = orphan_references(refs, parents, ["chapter", "rest"], "crawled_at")
     return o.select("record_id", "ref_field", "ref_kind", "ref_key", "reason", F.date_format("crawled_at", "yyyy-MM").alias("ref_month"))
