@@ -50,10 +50,10 @@ def sql_natural(c: str, width: int = 8) -> str:
     return f"array_to_string(list_transform(regexp_extract_all({c}, '[0-9]+|[A-Za-z]+'), lambda r: CASE WHEN regexp_matches(r, '^[0-9]') THEN lpad(r, greatest(length(r), {width})::INT, '0') ELSE r END), '')"
 
 
-def sections(spark: SparkSession, d: str) -> DataFrame:
-    """One record per section: the last one fetched. ``number`` is its key with the sign."""
+def sections(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """One record per section, the last one fetched, with the columns asked for or all. ``number`` is its key with the sign."""
     p = table(spark, d, "parsed").drop("bodyHtml").withColumn("key", section_key(F.col("sectionNumber"))).where("key is not null")
-    cols = [c for c in p.columns if c != "key"]
+    cols = list(columns or (c for c in p.columns if c != "key"))
     one = p.groupBy("key").agg(F.max_by(F.struct(*cols), F.struct("crawled_at", "record_id")).alias("s")).select("key", "s.*")
     return one.withColumns({"number": F.concat(F.lit("§"), F.col("key")), "chapter": F.regexp_extract("key", "^([^-:]*)", 1)})
 
@@ -298,12 +298,12 @@ def a19_note_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {SECTIONS} SELECT number, lag(number) OVER w AS previous, lead(number) OVER w AS next FROM s WINDOW w AS (PARTITION BY chapter ORDER BY {sql_natural('number')}, number)")
 def w1_pager(spark: SparkSession, d: str) -> DataFrame:
-    return L.pager(sections(spark, d), "chapter", "number").select("number", "previous", "next")
+    return L.pager(sections(spark, d, "record_id"), "chapter", "number").select("number", "previous", "next")
 
 
 @query(f"WITH {SECTIONS} SELECT number, last_value(partHeading IGNORE NULLS) OVER (PARTITION BY chapter ORDER BY {sql_natural('number')}, number ROWS UNBOUNDED PRECEDING) AS open_part FROM s")
 def w2_carry_forward(spark: SparkSession, d: str) -> DataFrame:
-    return L.carry_forward(sections(spark, d), "partHeading", L.ordered("number"), "chapter", "open_part").select("number", "open_part")
+    return L.carry_forward(sections(spark, d, "partHeading"), "partHeading", L.ordered("number"), "chapter", "open_part").select("number", "open_part")
 
 
 @query(
@@ -312,7 +312,7 @@ b AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 1 WHEN lag(part) OVER w I
 SELECT chapter, number, part AS open_part, (sum(b) OVER (PARTITION BY chapter ORDER BY k, number ROWS UNBOUNDED PRECEDING))::BIGINT AS group_no FROM b"""
 )
 def w3_part_groups(spark: SparkSession, d: str) -> DataFrame:
-    g = L.open_groups(sections(spark, d), "partHeading", L.ordered("number"), "chapter")
+    g = L.open_groups(sections(spark, d, "partHeading"), "partHeading", L.ordered("number"), "chapter")
     return g.select("chapter", "number", F.col("open_partHeading").alias("open_part"), "group_no")
 
 
@@ -343,7 +343,7 @@ def _listed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _corpus(spark: SparkSession, d: str) -> DataFrame:
-    return sections(spark, d).select("chapter", F.col("key").alias("number"), "isRepealed")
+    return sections(spark, d, "isRepealed").select("chapter", F.col("key").alias("number"), "isRepealed")
 
 
 @query(f"WITH {_COVER} SELECT chapter, number, state FROM c")
@@ -420,7 +420,7 @@ def k11_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT href FROM targets WHERE target_key NOT IN (SELECT key FROM (" + f"SELECT {sql_key('sectionNumber')} AS key FROM parsed" + ") WHERE key IS NOT NULL)")
 def g8_broken_links(spark: SparkSession, d: str) -> DataFrame:
-    pages = sections(spark, d).select(I.href("section", F.col("number")).alias("href"))
+    pages = sections(spark, d, "record_id").select(I.href("section", F.col("number")).alias("href"))
     return G.broken_links(table(spark, d, "targets").select("href").distinct(), pages)
 
 
@@ -634,7 +634,7 @@ def a8_cross_document_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT t.target_key AS query, t.target_key AS number, t.href FROM (SELECT DISTINCT target_key, href FROM targets) t JOIN (SELECT DISTINCT key FROM (SELECT " + sql_key("sectionNumber") + " AS key FROM parsed)) s ON s.key = t.target_key")
 def x4_jumps(spark: SparkSession, d: str) -> DataFrame:
-    pages = sections(spark, d).select(I.href("section", F.col("number")).alias("href"))
+    pages = sections(spark, d, "record_id").select(I.href("section", F.col("number")).alias("href"))
     return S.jumps(table(spark, d, "targets").select(F.col("target_key").alias("query")), pages)
 
 
