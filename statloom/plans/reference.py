@@ -640,10 +640,16 @@ def x4_jumps(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_WORDS}, v AS (SELECT word FROM counts WHERE freq >= 3), q AS (SELECT word AS q FROM counts WHERE freq < 3 AND word NOT IN (SELECT word FROM v)), m AS (SELECT q, v.word AS s, damerau_levenshtein(q, v.word) AS d, CASE length(v.word) - length(q) WHEN 0 THEN 0 WHEN -1 THEN 1 ELSE 2 END AS r FROM q JOIN v ON abs(length(v.word) - length(q)) <= 1) SELECT q AS word, arg_min(s, (r, s)) AS suggestion, 1 AS distance FROM m WHERE d = 1 GROUP BY q")
 def x6_suggestions(spark: SparkSession, d: str) -> DataFrame:
-    """Vocabulary words one edit away from rare ones (at one edit the distances of both engines agree)."""
+    """Vocabulary words one edit away from rare ones (at one edit the distances of both engines agree): the part of ``x6_all_suggestions`` that SQL can say."""
+    return x6_all_suggestions(spark, d).where("distance = 1")
+
+
+@query()
+def x6_all_suggestions(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest vocabulary word of every rare word that has one within two edits."""
     counts = S.word_counts(table(spark, d, "parsed"))
     vocab = S.vocabulary(counts).select("word")
-    return S.suggestions(counts.where("freq < 3").select("word"), vocab).where("distance = 1")
+    return S.suggestions(counts.where("freq < 3").select("word"), vocab)
 
 
 @query()
@@ -734,7 +740,16 @@ def j21_prefixes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'asked ' || word || ' law' AS query, 'asked ' || suggestion || ' law' AS fixed FROM (" + SQL["x6_suggestions"] + ")")
 def x7_fixed_queries(spark: SparkSession, d: str) -> DataFrame:
-    s = x6_suggestions(spark, d)
+    """Of ``x7_all_fixed_queries`` those one edit away, which SQL can say."""
+    return _fixed(x6_suggestions(spark, d))
+
+
+@query()
+def x7_all_fixed_queries(spark: SparkSession, d: str) -> DataFrame:
+    return _fixed(x6_all_suggestions(spark, d))
+
+
+def _fixed(s: DataFrame) -> DataFrame:
     return S.apply_fix(s.select(F.concat(F.lit("asked "), "word", F.lit(" law")).alias("query"), F.col("word").alias("unknown"), "suggestion"))
 
 
