@@ -49,8 +49,8 @@ END_BUCKETS = 1024
 END_WEIGHT, UNSEEN = 1e-3, 1e-9
 #: Cuts and gaps within values that each kind of gap counts before any is seen.
 GAP_PRIOR = 0.1
-#: Places between two anchors that a lattice looks at; a line with more of them there is no list of values any more.
-MOST_CUTS = 64
+#: Arcs between two anchors' cuts beyond which a lattice isn't held as lists but walked end by end; either way has all of them.
+DENSE = 64 * 64
 
 
 @dataclass(frozen=True)
@@ -143,17 +143,9 @@ class Weights:
 _Arc = tuple[float, tuple[int, int, int]]
 
 
-def _likely(line: _Line, cuts: list[int], w: Weights) -> list[int]:
-    """All cuts; of more than MOST_CUTS between two anchors, those whose gaps part values most often, the earliest first."""
-    if len(cuts) <= MOST_CUTS:
-        return cuts
-    odds = [w.gap[_hash(_kind(line.gaps[i]), GAP_BUCKETS)] for i in cuts]
-    return sorted(sorted(cuts, key=dict(zip(cuts, odds, strict=True)).get, reverse=True)[:MOST_CUTS])
-
-
 def _lattice(line: _Line, w: Weights, buckets: int) -> tuple[list[list[int]], list[list[list[_Arc | None]]], list[list[int]]]:
     """Cut candidates; arcs by segment, from and to; the bucket of each cut's gap."""
-    cuts, last, pre = [_likely(line, c, w) for c in line.cuts()], len(line.folds) - 1, _prefix(line)
+    cuts, last, pre = line.cuts(), len(line.folds) - 1, _prefix(line)
     ends, begins = [*cuts, [last]], [[-1], *cuts]
     arcs = []
     for k in range(len(ends)):
@@ -172,13 +164,122 @@ def _lattice(line: _Line, w: Weights, buckets: int) -> tuple[list[list[int]], li
     return cuts, arcs, [[_hash(_kind(line.gaps[e]), GAP_BUCKETS) for e in c] for c in cuts]
 
 
+_CRC = np.array([zlib.crc32(bytes([i])) ^ zlib.crc32(b"\0") for i in range(256)], np.uint32)
+_CRC_BACK = np.zeros(256, np.uint32)
+_CRC_BACK[_CRC >> 24] = np.arange(256, dtype=np.uint32)
+
+
+def _times(basis: np.ndarray, x: int) -> int:
+    """The linear map whose values at the single bits are ``basis``."""
+    return int(np.bitwise_xor.reduce(basis[[i for i in range(32) if x >> i & 1]], initial=np.uint32(0)))
+
+
+class _Walk:
+    """A lattice whose arcs are weighed end by end, in memory that grows with the cuts, not the arcs.
+
+    The CRC of a part is that of the text up to its end less that of the text before it, moved on by the part's length. The latter are kept
+    moved back to the line's start, so one map for each end gives the hashes of all parts that end there.
+    """
+
+    def __init__(self, line: _Line, w: Weights, buckets: int):
+        self.w, self.buckets, self.cuts, last = w, buckets, line.cuts(), len(line.folds) - 1
+        self.shape, first, lasts, gap = np.array(w.shape), np.array(w.first), np.array(w.last), np.array(w.gap)
+        self.ends, begins = [*self.cuts, [last]], [[-1], *self.cuts]
+        starts, stops = {b + 1 for x in begins for b in x}, {e for x in self.ends for e in x}
+        on = back = np.uint32(1) << np.arange(32, dtype=np.uint32)
+        crc, before, self.whole, self.maps = 0, {}, {}, {}
+        for i, (f, p) in enumerate(zip(line.folds, _prefix(line), strict=True)):
+            fold, rest = f.encode(), p[len(f) :].encode()
+            if i in starts:
+                before[i] = _times(back, crc)
+            for part in (fold, rest):
+                crc = zlib.crc32(part, crc)
+                for _ in part:
+                    on, k = (on >> 8) ^ _CRC[on & 255], _CRC_BACK[back >> 24]
+                    back = ((back ^ _CRC[k]) << 8) | k
+                if part is fold and i in stops:
+                    self.whole[i], self.maps[i] = crc, on
+        self.bytes = [[(np.array([before[b + 1] for b in x], np.uint32) >> s & 255).astype(np.intp) for s in (0, 8, 16, 24)] for x in begins]
+        self.heads = [np.array([_hash(line.folds[b + 1], END_BUCKETS) for b in x]) for x in begins]
+        self.tails = [np.array([_hash(line.folds[e], END_BUCKETS) for e in x]) for x in self.ends]
+        self.gaps = [np.array([_hash(_kind(line.gaps[e]), GAP_BUCKETS) for e in x]) for x in self.cuts]
+        self.first, self.last = [first[h] for h in self.heads], [END_WEIGHT * lasts[t] for t in self.tails]
+        self.odds = [*(gap[g] for g in self.gaps), np.ones(1)]
+
+    def arcs(self, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each end of segment k: its place, and of the arcs from all begins the shape's bucket and the weight."""
+        for j, e in enumerate(self.ends[k]):
+            table = np.zeros((4, 256), np.uint32)
+            for i, m in enumerate(self.maps[e].reshape(4, 8).T):
+                table[:, 1 << i : 2 << i] = table[:, : 1 << i] ^ m[:, None]
+            v = np.full(len(self.heads[k]), self.whole[e], np.uint32)
+            for part, at in zip(table, self.bytes[k], strict=True):
+                v ^= part[at]
+            v = (v % np.uint32(self.buckets)).astype(np.intp)
+            yield j, v, self.shape[v] + self.first[k] * self.last[k][j]
+
+
+def _is_wide(line: _Line) -> bool:
+    n = [1, *map(len, line.cuts()), 1]
+    return any(a * b > DENSE for a, b in zip(n, n[1:], strict=False))
+
+
+def _expect_wide(line: _Line, n: float, w: Weights, buckets: int, into: dict[int, float]) -> None:
+    """What ``_expect`` adds but for the gaps seen."""
+    walk, gap_at = _Walk(line, w, buckets), buckets + 2 * END_BUCKETS
+    fore, scales, counts = [np.ones(1)], [], np.zeros(gap_at + GAP_BUCKETS)
+    for k, odds in enumerate(walk.odds):
+        f = np.zeros(len(odds))
+        for j, _, x in walk.arcs(k):
+            f[j] = fore[-1] @ x * odds[j]
+        scales.append(f.sum() or 1.0)
+        fore.append(f / scales[-1])
+    back = np.ones(1)
+    for k in range(len(walk.odds) - 1, -1, -1):
+        new, gone, by_head = np.zeros(len(fore[k])), np.zeros(len(back)), np.zeros(len(fore[k]))
+        for j, v, x in walk.arcs(k):
+            p = x * (walk.odds[k][j] * back[j] / scales[k])
+            c = fore[k] * p * n
+            new += p
+            by_head += c
+            gone[j] = c.sum()
+            np.add.at(counts, v, c)
+        np.add.at(counts, buckets + walk.heads[k], by_head)
+        np.add.at(counts, buckets + END_BUCKETS + walk.tails[k], gone)
+        if k < len(walk.gaps):
+            np.add.at(counts, gap_at + walk.gaps[k], gone)
+        back = new
+    for at in np.flatnonzero(counts).tolist():
+        into[at] += float(counts[at])
+
+
+def _best_wide(line: _Line, w: Weights, buckets: int) -> list[int]:
+    """The last atom of each value, as ``_best`` finds them."""
+    walk = _Walk(line, w, buckets)
+    score, trace = np.ones(1), []
+    for k, odds in enumerate(walk.odds):
+        new, at = np.zeros(len(odds)), []
+        for j, _, x in walk.arcs(k):
+            x = score * x
+            at.append(int(x.argmax()))
+            new[j] = x[at[-1]] * odds[j]
+        score, trace = new / (new.max() or 1.0), [*trace, at]
+    e, ends = 0, [walk.ends[-1][0]]
+    for k in range(len(trace) - 1, 0, -1):
+        e = trace[k][e]
+        ends.append(walk.cuts[k - 1][e])
+    return ends[::-1]
+
+
 def _expect(line: _Line, n: float, w: Weights, buckets: int, into: dict[int, float]) -> None:
     """Forward-backward; adds the expected counts to the buckets."""
-    _, arcs, gaps = _lattice(line, w, buckets)
     gap_at = buckets + 2 * END_BUCKETS
     for g in line.gaps:
         if g and _SIGN.search(g):
             into[gap_at + GAP_BUCKETS + _hash(_kind(g), GAP_BUCKETS)] += n
+    if _is_wide(line):
+        return _expect_wide(line, n, w, buckets, into)
+    _, arcs, gaps = _lattice(line, w, buckets)
     fore, scales, weighs = [[1.0]], [], []
     for k, arc in enumerate(arcs):
         by = [w.gap[g] for g in gaps[k]] if k < len(gaps) else [1.0]
@@ -210,6 +311,9 @@ def _best(line: _Line, w: Weights, buckets: int) -> list[tuple[int, int]]:
     """Viterbi: the likeliest values as (first atom, last atom); of equal ones the earliest cuts."""
     if len(line.anchors) < 2:
         return [(0, len(line.folds) - 1)]
+    if _is_wide(line):
+        ends = _best_wide(line, w, buckets)
+        return list(zip([0, *(x + 1 for x in ends[:-1])], ends, strict=True))
     cuts, arcs, gaps = _lattice(line, w, buckets)
     score, trace = [1.0], []
     for k, arc in enumerate(arcs):
