@@ -1,0 +1,15 @@
+from statloom.llm.wrappers import Template, parse_html
+
+
+def page(k):
+    return parse_html("<p>Home</p>" + "".join(f"<p>Text {i} of page {k}.</p>" for i in range(40)) + "<p>Footer</p><ul><li>Imprint</li></ul>")
+
+
+def test_what_is_constant_goes_after_many_siblings():
+    whole, a, b = Template(), Template(), Template()
+    for k in range(20):
+        whole.add(page(k))
+        (a if k < 10 else b).add(page(k))
+    a.merge(Template.loads(b.dumps()))
+    for t in (whole, a):
+        assert [n.full_text() for n in t.content(page(99))] == [f"Text {i} of page 99." for i in range(40)]
