@@ -185,6 +185,13 @@ def f24_history_split(spark: SparkSession, d: str) -> DataFrame:
     return p.select("record_id", X.history_of(t).alias("history"), X.without_history(t).alias("body"))
 
 
+@query()
+def f24_all_histories(spark: SparkSession, d: str) -> DataFrame:
+    """The split over all rows: each body followed by its history, in whatever form."""
+    t = F.concat_ws(" ", "bodyText", "history")
+    return table(spark, d, "parsed").select("record_id", X.history_of(t).alias("history"), X.without_history(t).alias("body"))
+
+
 @query("SELECT record_id, len(l) AS paragraphs, list_sum(list_transform(l, lambda x: length(x)))::BIGINT AS characters FROM (SELECT record_id, list_filter(list_transform(string_split_regex(bodyText, '\\n{2,}'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS l FROM parsed WHERE bodyText IS NOT NULL AND bodyText <> '')")
 def f30_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "parsed").where("bodyText <> ''").select("record_id", X.paragraphs(F.col("bodyText")).alias("l"))
@@ -469,6 +476,12 @@ def d16_parse_sections(spark: SparkSession, d: str) -> DataFrame:
     return r.select("record_id", F.concat(F.lit("§"), section_key(F.col("sectionNumber"))).alias("number"), "title", "isRepealed")
 
 
+@query()
+def d16_all_sections(spark: SparkSession, d: str) -> DataFrame:
+    """All raw pages read again, with all fields."""
+    return P.parse_sections(table(spark, d, "parsed").select("record_id", "filename", F.col("bodyHtml").alias("html")), key="record_id")
+
+
 @query()
 def d25_html_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return P.html_paragraphs(table(spark, d, "parsed").select("record_id", F.col("bodyHtml").alias("html")), "record_id")

@@ -1,9 +1,13 @@
 """Queries that do the whole job where others keep to what their SQL can say."""
 
+import re
+
 import __spark_entry__ as entry
 from statloom.operators import search as S
+from statloom.runtime import table
 
 from tests.conftest import rows
+from tests.test_layout_search import PAGES
 
 QUERIES = entry.queries()
 
@@ -26,3 +30,32 @@ def test_suggestions_at_all_distances(spark, tmp_path):
     assert {d for _, _, d in want} == {1, 2}
     assert rows(QUERIES["x6_all_suggestions"](spark, str(tmp_path))) == sorted(want, key=repr)
     assert rows(QUERIES["x7_all_fixed_queries"](spark, str(tmp_path))) == sorted(((f"asked {w} law", f"asked {s} law") for w, s, _ in want), key=repr)
+
+
+def test_all_pages_with_all_fields(spark, tmp_path):
+    lines = [(i, f, h, None, None) for i, (f, h) in enumerate(PAGES.items())]
+    spark.createDataFrame(lines, "record_id long, filename string, bodyHtml string, sectionNumber string, title string").write.parquet(f"{tmp_path}/parsed.parquet")
+    got = {r.filename: r for r in QUERIES["d16_all_sections"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(PAGES) and len(got["HRS_0001-0100.htm"]) == 17
+    a, d = got["HRS_0026-0012.htm"], got["HRS_0515-0011.htm"]
+    assert (a.sectionNumber, a.partHeading, a.bodyText, a.history, a.chapterNumber, a.docType) == ("§26-12", "[PART IV. SUPPLIED]", "(a) The department", "[L 1990, c 1; am L 1991, c 2]", "26", "hrs")
+    assert (len(a.annotations), a.crossReferences, a.caseNotes) == (2, ["See chapter 5.", "More."], "Case.")
+    assert (d.covers.end, d.isRepealed, d.numberSource) == ("§515-12", True, "page-range")
+
+
+def split(body, history):
+    t = " ".join(x for x in (body, history) if x is not None)
+    found = re.findall(r"\[[^\[\]]*\b(?:1[6-9][0-9]{2}|20[0-9]{2})\b[^\[\]]*\]", t)
+    if not found:
+        return "", t
+    at = t.rindex(found[-1])
+    rest = (t[:at] + t[at + len(found[-1]) :]).strip(" ")
+    return found[-1], rest or t
+
+
+def test_all_histories(spark, tmp_path, data):
+    lines = [("A [see 1990] b", "[L 1991, c 2]"), ("A [see 1990] b", "L 1991, c 2"), ("A [x 1990] b [x 1990] c", ""), (None, "[L 1990]"), (None, None), ("b", None), ("a\n\nb [1]", "[L 90] | [am L 2001, c 3]; CC")]
+    spark.createDataFrame([(i, *x) for i, x in enumerate(lines)], "record_id long, bodyText string, history string").write.parquet(f"{tmp_path}/parsed.parquet")
+    for d in (str(tmp_path), data):
+        want = [(r.record_id, *split(r.bodyText, r.history)) for r in table(spark, d, "parsed").collect()]
+        assert rows(QUERIES["f24_all_histories"](spark, d)) == sorted(want, key=repr)
