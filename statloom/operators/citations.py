@@ -22,6 +22,8 @@ _FOREIGN = r"United States Code|U\.S\.C\.|C\.F\.R\.|Code of Federal Regulations|
 _OLD = r"H\.R\.S\.|R\.L\.H\.|\bRLH\b|Revised Laws of Hawaii"
 
 FIRST = re.compile(rf"(?P<kw>sections?|chapters?|§§?){_B}*{_ITEM}", re.I)
+#: For the JVM: holds wherever FIRST does. The blanks are those of Python's \\s.
+MAY_CITE = r"(?iu)(?:sections?|chapters?|§)B*+(?:\[B*+)?[0-9]".replace("B", r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]")
 NEXT = re.compile(rf"(?:{_B}*,{_B}*(?:and{_B}+|or{_B}+)?|{_B}+and{_B}+|{_B}+or{_B}+|(?P<range>{_B}+to{_B}+))(?:§+{_B}*)?{_ITEM}", re.I)
 OLD_BEFORE = re.compile(rf"(?:{_OLD}){_B}*(?:[0-9]{{4}})?(?:{_B}|[,;§])*\Z", re.I)
 OLD_ANYWHERE = re.compile(_OLD, re.I)
@@ -100,7 +102,7 @@ def detect(blocks: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(keys))), *(pa.array(c, k) for c, k in zip(cols, types, strict=True))], [*keys, "seq", "start", "end", "cited", "number", "kind", "range_endpoint", "guard", "before"])
 
     schema = ", ".join(f"`{k}` {fields[k].simpleString()}" for k in keys) + ", seq int, start int, end int, cited string, number string, kind string, range_endpoint boolean, guard string, before string"
-    return blocks.select(*keys, text).where(F.col(text).rlike(r"(?i)(?:section|chapter|§)[^0-9]{0,12}[0-9]")).mapInArrow(run, schema)
+    return blocks.select(*keys, text).where(F.col(text).rlike(MAY_CITE)).mapInArrow(run, schema)
 
 
 def resolve(found: DataFrame, sections: DataFrame, chapters: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
