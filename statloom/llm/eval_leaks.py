@@ -127,9 +127,13 @@ class Index:
         run = self.how.run
         if len(ids) < run or not self.ids:
             return
-        bound = np.zeros(len(ids) + 1)
-        np.cumsum(np.where(ids >= 0, self.most[ids], -1e6), out=bound[1:])  # a word that no item has ends every run
-        can = np.flatnonzero(bound[run:] - bound[:-run] >= 1 - 1e-6)
+        unknown = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(ids < 0, out=unknown[1:])  # a word that no item has ends every run
+        can = np.flatnonzero(unknown[run:] == unknown[:-run])
+        bound = np.zeros(len(can))
+        for k in range(run):  # each window summed by itself: the error doesn't grow with the text
+            bound += self.most[ids[can + k]]
+        can = can[bound >= 1 - 1e-6]
         if len(can):
             breaks = np.flatnonzero(np.diff(can) > 1)
             for s, e in zip(np.r_[0, breaks + 1], np.r_[breaks, len(can) - 1], strict=True):
