@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,11 +138,13 @@ def missing_parents(rows: DataFrame, parents: DataFrame, key: str, parent_key: s
     return rows.where(F.col(key).isNotNull()).join(parents.select(F.col(parent_key).alias("__p")), F.col(key) == F.col("__p"), "left_anti")
 
 
-def changed_rows(new: DataFrame, old: DataFrame, key: str, digest: Column) -> DataFrame:
+def changed_rows(new: DataFrame, old: DataFrame, key: str | Sequence[str], digest: Column) -> DataFrame:
     """(key, state): unchanged, changed or created against the stored version; a sink writes only the latter two."""
-    n, o = new.select(key, digest.alias("__new")), old.select(F.col(key).alias("__k"), digest.alias("__old"))
-    state = F.when(F.col("__k").isNull(), "created").when(F.col("__new").eqNullSafe(F.col("__old")), "unchanged").otherwise("changed")
-    return n.join(o, F.col(key) == F.col("__k"), "left").select(key, state.alias("state"))
+    keys = [key] if isinstance(key, str) else [*key]
+    n, o = new.select(*keys, digest.alias("__new")), old.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), digest.alias("__old"))
+    same = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)))
+    state = F.when(F.col("__k0").isNull(), "created").when(F.col("__new").eqNullSafe(F.col("__old")), "unchanged").otherwise("changed")
+    return n.join(o, same, "left").select(*keys, state.alias("state"))
 
 
 def upsert(stored: DataFrame, new: DataFrame, key: str, keep_if_empty: Sequence[str] = ()) -> DataFrame:

@@ -417,6 +417,17 @@ def k9_changed_rows(spark: SparkSession, d: str) -> DataFrame:
     return V.changed_rows(one(110), one(109), "key", F.xxhash64(F.to_json("t", {"ignoreNullFields": "false"})))
 
 
+@query()
+def k9_all_changes(spark: SparkSession, d: str) -> DataFrame:
+    """(snapshot_no, key, state) of every complete delivery against the complete one before it; the first has none before it."""
+    b = table(spark, d, "load_batches").where("status = 'complete'")
+    b = b.select("batch_id", "snapshot_no", F.lead("snapshot_no").over(Window.orderBy("snapshot_no")).alias("next"), F.lag("snapshot_no").over(Window.orderBy("snapshot_no")).alias("before"))
+    s = table(spark, d, "parsed_snapshots").select("batch_id", F.col("sectionNumber").alias("key"), "row_id", F.struct("title", "bodyText", "history").alias("t"))
+    s = s.groupBy("batch_id", "key").agg(F.max_by("t", "row_id").alias("t")).join(F.broadcast(b), "batch_id")
+    old = s.where("next is not null").select(F.col("next").alias("snapshot_no"), "key", "t")
+    return V.changed_rows(s.where("before is not null").select("snapshot_no", "key", "t"), old, ["snapshot_no", "key"], F.xxhash64(F.to_json("t", {"ignoreNullFields": "false"})))
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'kept ' || c_custkey WHEN c_custkey % 4 = 1 THEN c_name ELSE 'new ' || c_custkey END AS c_name, CASE WHEN c_custkey % 4 = 0 THEN c_nationkey WHEN c_custkey % 4 = 1 THEN c_nationkey + 1 ELSE c_nationkey + 1 END AS c_nationkey FROM (SELECT c_custkey, c_nationkey, c_name FROM customer) WHERE true")
 def k11_upsert(spark: SparkSession, d: str) -> DataFrame:
     c, k = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), F.col("c_custkey") % 4
@@ -721,6 +732,11 @@ def a16_run_counters(spark: SparkSession, d: str) -> DataFrame:
     return k9_changed_rows(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def a16_all_counters(spark: SparkSession, d: str) -> DataFrame:
+    return k9_all_changes(spark, d).groupBy("snapshot_no", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT record_id, regexp_replace(substring(bodyText, greatest(0, p - 41) + 1, (p + 4 + 40) - greatest(0, p - 41)), '[ \\t\\n\\x{0b}\\f\\r]+', ' ', 'g') AS sample FROM (SELECT record_id, bodyText, strpos(bodyText, 'shall') AS p FROM parsed) WHERE p > 0")
 def f23_samples(spark: SparkSession, d: str) -> DataFrame:
     p = F.instr(F.col("bodyText"), "shall")
