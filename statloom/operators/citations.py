@@ -1,78 +1,164 @@
 """Citations in running text: detect generously, resolve by joins against the inventory, count what is rejected.
 
-Detection is sequential (a list goes on from where the last number ended), so it is an Arrow function from a text to rows;
-it sees the text alone. All that depends on the inventory is joins.
+Detection starts from a text's numbers. What stands between two numbers says what the second one is: the head of a citation where a
+keyword ends there, a further member of a list where nothing but a connector is there, else nothing. Names of other bodies of law are
+marks with a place; whether one rules a number out depends on the nearest mark and what is in between. All this needs the text
+alone and is an Arrow function from a text to rows. What depends on the inventory is joins.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# How numbers, lists and other bodies of law are written.
-_B = "[\\s\xa0]"
-_NUMBER = r"[0-9]+[A-Z]?(?::[0-9]+[A-Z]?)?-[0-9]+[A-Z]?(?:\.[0-9]+)*"
-_BARE = r"[0-9]+[A-Z]?"
-_ITEM = rf"(?P<open>\[{_B}*)?(?P<num>{_NUMBER}|{_BARE})(?P<close>{_B}*\])?"
-_FOREIGN = r"United States Code|U\.S\.C\.|C\.F\.R\.|Code of Federal Regulations|Internal Revenue Code|Social Security Act|Public Law|P\.L\.|Hawaii Administrative Rules|Stat\."
-_OLD = r"H\.R\.S\.|R\.L\.H\.|\bRLH\b|Revised Laws of Hawaii"
-
-FIRST = re.compile(rf"(?P<kw>sections?|chapters?|§§?){_B}*{_ITEM}", re.I)
-#: For the JVM: holds wherever FIRST does. The blanks are those of Python's \\s.
-MAY_CITE = r"(?iu)(?:sections?|chapters?|§)B*+(?:\[B*+)?[0-9]".replace("B", r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]")
-NEXT = re.compile(rf"(?:{_B}*,{_B}*(?:and{_B}+|or{_B}+)?|{_B}+and{_B}+|{_B}+or{_B}+|(?P<range>{_B}+to{_B}+))(?:§+{_B}*)?{_ITEM}", re.I)
-OLD_BEFORE = re.compile(rf"(?:{_OLD}){_B}*(?:[0-9]{{4}})?(?:{_B}|[,;§])*\Z", re.I)
-OLD_ANYWHERE = re.compile(_OLD, re.I)
-SAME_BEFORE = re.compile(rf"\bId\.{_B}*(?:at{_B}+)?§*{_B}*\Z", re.I)
-RULE_AFTER = re.compile(r"-[0-9]")
-FOREIGN_BEFORE = re.compile(rf"(?:{_FOREIGN})(?:{_B}|,)*\Z", re.I)
-FOREIGN_AFTER = re.compile(
-    rf"(?:{_B}|,)*(?:(?:or|and){_B}+[0-9]+[A-Z]?(?:{_B}|,)*)*(?:of{_B}+)?(?:subtitle{_B}+\w+(?:{_B}|,)*)?of{_B}+(?:the{_B}+)?(?:Title{_B}+[0-9]+|{_FOREIGN}|[A-Z][A-Za-z'’ ]{{2,45}}?(?:Act|Code))\b|(?:{_B}|,)*(?:subchapter|subtitle)\b",
-    re.I,
-)
+# How keywords, numbers, lists and other bodies of law are written, how far the guards look, and the reasons.
+KEYWORDS = r"sections?|chapters?|§§?"
+NUMBER = r"[0-9]+[A-Z]?(?::[0-9]+[A-Z]?)?-[0-9]+[A-Z]?(?:\.[0-9]+)*"
+BARE = r"[0-9]+[A-Z]?"
+LIST_WORDS, RANGE_WORD = ("and", "or"), "to"
+OLD_NAMES = r"H\.R\.S\.|R\.L\.H\.|\bRLH\b|Revised Laws of Hawaii"
+FOREIGN_NAMES = r"United States Code|U\.S\.C\.|C\.F\.R\.|Code of Federal Regulations|Internal Revenue Code|Social Security Act|Public Law|P\.L\.|Hawaii Administrative Rules|Stat\."
+FOREIGN_PLACES = rf"Title\s+[0-9]+|{FOREIGN_NAMES}|[A-Z][A-Za-z'’ ]{{2,45}}?(?:Act|Code)"
 BEFORE, AFTER = 60, 70
+REASONS = ("bare-number", "foreign-law", "admin-rules", "superseded", "absent-section", "unresolved")
 
+#: For the JVM: holds wherever a keyword is followed by a number. The blanks are those of Python's \\s.
+MAY_CITE = r"(?iu)(?:sections?|chapters?|§)B*+(?:\[B*+)?[0-9]".replace("B", r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]")
 #: Widths, in bits, of the blocks by which sections within a range are looked up.
 BLOCK_BITS = (3, 6, 9, 12, 16, 20)
-REASONS = ("bare-number", "foreign-law", "admin-rules", "superseded", "absent-section", "unresolved")
+
+#: A suffix letter isn't the first of a keyword.
+_NUMBERS = re.compile(f"{NUMBER}|{BARE}".replace("[A-Z]?", "(?:(?!section|chapter)[A-Z])?"), re.I)
+_KEYWORD_END = re.compile(rf"(?:{KEYWORDS})\Z", re.I)
+_KEYWORD_LAST, _LONGEST_KEYWORD = frozenset("nNrRsSſ§"), len("sections")
+_CLOSING = re.compile(r"\s*\]")
+_MARKS = re.compile(rf"(?P<old>{OLD_NAMES})|(?P<again>\bId\.)|(?P<foreign>{FOREIGN_NAMES})", re.I)
+#: What may stand between a mark and the citation after it.
+_OLD_GAP, _AGAIN_GAP, _FOREIGN_GAP = re.compile(r"\s*(?:[0-9]{4})?[\s,;§]*"), re.compile(r"\s*(?:at\s+)?§*\s*", re.I), re.compile(r"[\s,]*")
+_OF_PLACE = re.compile(rf"(?:(?:or|and)\s+{BARE}[\s,]*)*(?:of\s+)?(?:subtitle\s+\w+[\s,]*)?of\s+(?:the\s+)?(?:{FOREIGN_PLACES})\b", re.I)
+_SUBDIVISION = re.compile(r"(?:subchapter|subtitle)\b", re.I)
+
+
+@dataclass(slots=True)
+class _Number:
+    """A number with its brackets, and what the gap before it says: where its keyword begins, if any, and how it goes on with a list."""
+
+    text: str
+    start: int
+    end: int
+    keyword_at: int | None
+    kind: str
+    listed: bool
+    range_end: bool
+
+
+def _gap_link(gap: str) -> str | None:
+    """The connector that a gap consists of: a comma, a word with blanks around it, or a comma and a word with a blank after it."""
+    comma = gap.lstrip().startswith(",")
+    rest = gap.lstrip()[1:] if comma else gap
+    word = rest.strip().lower()
+    if not word:
+        return "," if comma else None
+    if word not in LIST_WORDS and (word != RANGE_WORD or comma):
+        return None
+    return word if rest[-1].isspace() and (comma or rest[0].isspace()) else None
+
+
+def _numbers(text: str) -> list[_Number]:
+    """The numbers of citations: those with a keyword, and what is listed after them."""
+    at, live, out = 0, False, []
+    for m in _NUMBERS.finditer(text):
+        start, end = m.span()
+        gap = text[at:start]
+        bare = gap.rstrip()
+        if bare.endswith("["):
+            gap = bare[:-1]
+            start = at + len(gap)
+            bare = gap.rstrip()
+            close = _CLOSING.match(text, end)
+            end = close.end() if close else end
+        keyword = _KEYWORD_END.search(bare[-_LONGEST_KEYWORD:]) if bare[-1:] in _KEYWORD_LAST else None
+        link = _gap_link(bare.rstrip("§") if bare.endswith("§") else gap) if live else None
+        live = keyword is not None or link is not None
+        if live:
+            out.append(_Number(m.group(), start, end, at + len(bare) - len(keyword.group()) if keyword else None, "chapter" if keyword and keyword.group()[0] in "cC" else "section", link is not None, link == RANGE_WORD))
+        at = end
+    return out
+
+
+class _Marks:
+    """Where other bodies of law are named."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.of: dict[str, list[tuple[int, int]]] = {"old": [], "again": [], "foreign": []}
+        for m in _MARKS.finditer(text):
+            self.of[m.lastgroup].append((m.end(), m.start()))
+
+    def before(self, kind: str, at: int, gap: re.Pattern[str]) -> bool:
+        """Whether the last mark of a kind leads up to ``at``."""
+        k = bisect_right(self.of[kind], (at, at)) - 1
+        if k < 0:
+            return False
+        end, start = self.of[kind][k]
+        return start >= at - BEFORE and gap.fullmatch(self.text, end, at) is not None
+
+    def any_before(self, kind: str, at: int) -> bool:
+        return bool(self.of[kind]) and self.of[kind][0][1] < at
+
+
+@dataclass(slots=True)
+class _Found:
+    kind: str
+    number: str
+    start: int
+    after: str
+    marks: _Marks
+
+    def is_old(self) -> bool:
+        return self.marks.before("old", self.start, _OLD_GAP) or (self.marks.any_before("old", self.start) and self.marks.before("again", self.start, _AGAIN_GAP))
+
+    def is_rule(self) -> bool:
+        return (self.after[:1] == "-" and "0" <= self.after[1:2] <= "9") or (self.kind == "chapter" and "-" in self.number)
+
+    def is_bare(self) -> bool:
+        return self.kind == "section" and "-" not in self.number
+
+    def is_foreign(self) -> bool:
+        if self.kind != "chapter":
+            return False
+        rest = self.after.lstrip(", \t\n\r\f\v\xa0")
+        return self.marks.before("foreign", self.start, _FOREIGN_GAP) or bool(_SUBDIVISION.match(rest) or _OF_PLACE.match(rest))
 
 
-def _guard(text: str, kind: str, number: str, start: int, end: int, old_at: int) -> str | None:
-    """Why a candidate can't be a citation, whatever the inventory holds; the first rule that applies."""
-    before, after = text[max(0, start - BEFORE) : start], text[end : end + AFTER]
-    if OLD_BEFORE.search(before) or (0 <= old_at < start and SAME_BEFORE.search(before)):
-        return "superseded"
-    if RULE_AFTER.match(after) or (kind == "chapter" and "-" in number):
-        return "admin-rules"
-    if kind == "section" and "-" not in number:
-        return "bare-number"
-    if kind == "chapter" and (FOREIGN_BEFORE.search(before) or FOREIGN_AFTER.match(after)):
-        return "foreign-law"
-    return None
+#: Why a candidate can't be a citation, whatever the inventory holds. The first rule that applies counts.
+RULES: tuple[tuple[str, Callable[[_Found], bool]], ...] = (("superseded", _Found.is_old), ("admin-rules", _Found.is_rule), ("bare-number", _Found.is_bare), ("foreign-law", _Found.is_foreign))
 
 
 def candidates(text: str) -> list[tuple[int, int, str, str, bool, str | None]]:
-    """(start, end, number, kind, range_endpoint, guard) in the order found; spans in code points, half open.
+    """(start, end, number, kind, range_endpoint, guard), list by list; spans in code points, half open.
 
-    After each keyword with a number the list that follows is walked. A number that stands in a list and after a sign of its own
-    comes out twice. A closing bracket belongs to a span only if the opening one does.
+    Every number with a keyword opens a list, of which the numbers after it are members as long as connectors lead from one to the next.
+    So a number that stands in a list and has a sign of its own comes out in both lists. A closing bracket belongs to a span only if the
+    opening one does.
     """
-    old = OLD_ANYWHERE.search(text)
-    old_at, out = old.start() if old else -1, []
-    for m in FIRST.finditer(text):
-        kind = "chapter" if m["kw"][0] in "cC" else "section"
-        start, end, number, is_end = m.start(), m.end() - (len(m["close"]) if m["close"] and not m["open"] else 0), m["num"], False
-        while True:
-            out.append((start, end, number, kind, is_end, _guard(text, kind, number, start, end, old_at)))
-            m = NEXT.match(text, end)
-            if not m:
-                break
-            start, number, is_end = m.start("open") if m["open"] else m.start("num"), m["num"], m["range"] is not None
-            end = m.end() - (len(m["close"]) if m["close"] and not m["open"] else 0)
+    numbers = _numbers(text)
+    heads = [i for i, n in enumerate(numbers) if n.keyword_at is not None]
+    marks, out = _Marks(text) if heads else None, []
+    for i in heads:
+        kind, k = numbers[i].kind, i
+        while k < len(numbers) and (k == i or numbers[k].listed):
+            n = numbers[k]
+            start = n.keyword_at if k == i else n.start
+            found = _Found(kind, n.text, start, text[n.end : n.end + AFTER], marks)
+            out.append((start, n.end, n.text, kind, k > i and n.range_end, next((reason for reason, holds in RULES if holds(found)), None)))
+            k += 1
     return out
 
 

@@ -22,7 +22,6 @@ from statloom.functions.htmltree import Element, page_root
 SECTION_HEAD = re.compile(r"\[?\s*§+\s*([0-9][0-9A-Za-z:.\-]*[0-9A-Za-z])\s*\]?\s+(.*)\Z", re.S)
 ACT_HEAD = re.compile(r"§+\s*([0-9](?:[0-9A-Za-z.\-]*[0-9A-Za-z])?)\s*\.\s*(.*)\Z", re.S)
 ARTICLE_HEAD = re.compile(r"Section\s+([0-9]+[A-Za-z]?)\s*\.\s*(.*)\Z", re.I | re.S)
-STRUCTURE = re.compile(r"\[?\s*(?:PART|SUBPART|ARTICLE|DIVISION|TITLE|CHAPTER)\s+[IVXLCDM0-9]", re.I)
 CHAPTER_BANNER = re.compile(r"\[?\s*chapter\s+([0-9][0-9A-Za-z]*)\s*(.*?)\s*\]?\Z", re.I)
 TITLE_BANNER = re.compile(r"(\[?)\s*TITLE\s+([0-9]+[A-Z]?)\.\s*(.*?)\s*\]?\Z")
 DIVISION_BANNER = re.compile(r"\[?\s*DIVISION\s+([0-9]+)\.\s*(.*?)\s*\]?\Z")
@@ -31,6 +30,7 @@ CHAPTER_ROW = re.compile(r"([0-9]+[A-Z]*)\s+(\S.*)\Z")
 OLD, OLD_OR_NEW = re.compile(r"\[?old\]?\Z", re.I), re.compile(r"\[?(?:old|new)\]?\Z", re.I)
 MARKER = re.compile(r"\([0-9a-z]+\)\Z", re.I)
 LAST_MARKER = re.compile(r"\s*\((?:[0-9]{1,3}|[a-z]{1,3})\)\s*\Z", re.I)
+STRUCTURE, CATCHLINE = re.compile(X.BANNER, re.I), re.compile(X.CATCHLINE)
 #: Word processors' signs: blanks and hyphens in one form, no soft hyphens (they would end a number).
 _TYPO = {0xA0: " ", 0xAD: None, 0x2010: "-", 0x2011: "-", 0x2012: "-"}
 
@@ -53,8 +53,7 @@ def heading_of(p: Element) -> str:
 
 
 def is_catchline(text: str | None) -> bool:
-    t = (text or "").strip()
-    return bool(t) and len(t) <= 90 and not re.search("[a-z]", t) and not STRUCTURE.match(t)
+    return CATCHLINE.fullmatch((text or "").strip()) is not None
 
 
 @dataclass

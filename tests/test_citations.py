@@ -1,4 +1,3 @@
-import pytest
 from statloom.operators import citations as C
 from statloom.operators import crossdoc as D
 from statloom.operators import graph as G
@@ -103,6 +102,24 @@ CROSS = [
 ]
 
 
-@pytest.mark.parametrize("text,want", CROSS)
-def test_other_documents(text, want):
-    assert [INDEX[d, k] for _, _, d, k in D.spans(text, INDEX)] == want
+def test_other_documents(spark):
+    t = spark.createDataFrame([(d, k, n, n) for (d, k), n in INDEX.items()], "doc_type string, key string, number string, label string")
+    b = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(CROSS)] + [(-1, None)], "i int, text string")
+    got = {}
+    for r in D.detect_cross(b, ["i"], "text", t).orderBy("i", "start").collect():
+        got.setdefault(r.i, []).append(r.number)
+        assert CROSS[r.i][0][r.start : r.end] == r.cited
+    assert got == {i: want for i, (_, want) in enumerate(CROSS) if want}
+
+
+def test_only_documents_of_the_inventory_are_named(spark):
+    t = spark.createDataFrame([("org", "5", "o5", "o5")], "doc_type string, key string, number string, label string")
+    b = spark.createDataFrame([(1, "§5 of the Admission Act and the Organic Act")], "i int, text string")
+    assert [r.number for r in D.detect_cross(b, ["i"], "text", t).collect()] == ["o5"]
+    assert D.detect_cross(b, ["i"], "text", t.limit(0)).collect() == []
+
+
+def test_an_inventory_of_any_size(spark):
+    t = spark.range(50_000).selectExpr("'org' AS doc_type", "cast(id AS string) AS key", "concat('o', id) AS number", "concat('o', id) AS label")
+    b = spark.createDataFrame([(i, f"see Organic Act §{i * 999}.") for i in range(60)], "i int, text string")
+    assert {(r.i, r.number) for r in D.detect_cross(b, ["i"], "text", t).collect()} == {(i, f"o{i * 999}") for i in range(51)}
