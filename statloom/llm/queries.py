@@ -31,6 +31,18 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
     return cleaned(table(spark, d, "parsed")).select("record_id", "field_name", "clean_text")
 
 
+def p2_frames(spark: SparkSession, d: str) -> DataFrame:
+    """All pages with the frame of a site around them: (record_id, frame_lines, same), lines of the frame left in the clean text, and whether that is the bare page's."""
+    p = table(spark, d, "parsed").where("bodyHtml is not null").select("record_id", F.lit(None).cast("string").alias("bodyText"), "bodyHtml", F.lit(None).cast("string").alias("url"))
+    menu = "".join(f"<li><a href=/{i}>Frame entry {i}</a>" for i in range(40))
+    top, end = F.lit(f"<div class=head><h1>Frame of the site</h1><ul>{menu}</ul></div><div class=page>"), F.lit("</div><div class=foot><table><tr><td>Frame imprint<td>Frame contact</table></div>")
+    framed = p.withColumns({"bodyHtml": F.concat(top, "bodyHtml", end), "url": F.lit("https://framed.example/")})
+    lines = F.size(F.filter(F.split("clean_text", "\n"), lambda x: x.contains("Frame "))).cast("long")
+    a = cleaned(framed).select("record_id", lines.alias("frame_lines"), F.md5("clean_text").alias("a"))
+    b = cleaned(p).select("record_id", F.md5("clean_text").alias("b"))
+    return a.join(b, "record_id").select("record_id", "frame_lines", (F.col("a") == F.col("b")).alias("same"))
+
+
 #: Likeness of records as TESTDATA.md has it.
 RECORDS = Alike(threshold=0.7, words=3, least_words=40)
 
@@ -96,7 +108,7 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_coverage(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_frames, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
 
 _PASSAGE = "regexp_extract_all(lower(coalesce({c}, '')), '[\\p{{L}}\\p{{N}}]+')"
 _RECORDS = f"""w AS (SELECT record_id, {_PASSAGE.format(c="coalesce(title, '') || ' ' || coalesce(bodyText, '')")} AS w FROM parsed),
@@ -105,6 +117,7 @@ n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_
 f AS (SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m))"""
 _GRAMS = "s AS (SELECT doc_id, k, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)), m AS (SELECT h FROM s GROUP BY h HAVING count(DISTINCT doc_id) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))"
 SQL: dict[str, str] = {
+    "p2_frames": "SELECT record_id, 0::BIGINT AS frame_lines, true AS same FROM parsed WHERE bodyHtml IS NOT NULL",
     "p5_found": f"WITH {_RECORDS} SELECT * FROM f",
     "p5_groups": f"""WITH RECURSIVE {_RECORDS}, c AS (SELECT record_id, CASE WHEN len(w) >= 40 THEN min(record_id) OVER (PARTITION BY w) ELSE record_id END AS class_id, CASE WHEN len(w) >= 40 THEN count(*) OVER (PARTITION BY w) ELSE 1 END AS copies FROM w),
 l AS (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM (SELECT * FROM f UNION ALL SELECT record_id_b, record_id_a FROM f) f JOIN c x ON x.record_id = f.record_id_a JOIN c y ON y.record_id = f.record_id_b WHERE x.class_id <> y.class_id),
