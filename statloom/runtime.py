@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -15,16 +16,24 @@ _made: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) a folder of our own is set.
+    Only in local mode, where there is one machine, a folder of our own stands in for it; a cluster that names none is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not _one_machine(spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if "own" not in _made:
-        _made["own"] = f"file://{tempfile.mkdtemp(prefix='statloom-')}"
+        own = tempfile.mkdtemp(prefix="statloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _made["own"] = f"file://{own}"
     return _made["own"]
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def _scratch_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _made:
@@ -43,6 +52,11 @@ def _scratch_root(spark: SparkSession) -> str:
     return _made[app]
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder, deleted with the scratch tables."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` as a compressed table in the shared folder and read it back.
 
@@ -50,7 +64,7 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     and later stages read only the columns they use.
     """
     spark = df.sparkSession
-    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

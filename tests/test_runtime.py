@@ -1,6 +1,7 @@
 import os
 from types import SimpleNamespace
 
+import pytest
 from statloom import runtime
 
 
@@ -31,6 +32,12 @@ def test_slots(spark):
     assert runtime.slots(spark) == 4 and runtime.slots(spark, 9) == 9
 
 
-def test_a_folder_of_our_own_where_none_is_named():
-    none = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(getConf=lambda: {}))
-    assert runtime.shared_dir(none).startswith("file:///") and runtime.shared_dir(none) == runtime.shared_dir(none)
+def unnamed(master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=SimpleNamespace(getConf=lambda: {}, master=master))
+
+
+def test_a_folder_of_our_own_on_one_machine_alone():
+    assert runtime.shared_dir(unnamed("local[4]")).startswith("file:///") and runtime.shared_dir(unnamed("local")) == runtime.shared_dir(unnamed("local[*]"))
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,3000]"):
+        with pytest.raises(RuntimeError):
+            runtime.shared_dir(unnamed(master))
