@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.functions.norm import same_text
 from statloom.operators.history_chains import current_rows, delivered
 from statloom.runtime import materialize, slots
 
@@ -70,7 +69,6 @@ def diff_snapshots(rows: DataFrame, key: str, step: str, digests: tuple[str, str
 
 def section_changes(snapshots: DataFrame, batches: DataFrame) -> DataFrame:
     """(section_key, snapshot_no, change_kind) of bodyText and history between complete batches."""
-    values = {"bodyText": same_text(F.col("bodyText")), "history": same_text(F.col("history"))}
-    rows = delivered(snapshots, batches, values)
+    rows = delivered(snapshots, batches, ["bodyText", "history"])
     now = materialize(current_rows(rows, "section_key", "snapshot_no", ["loaded_at", "row_id"], ["h1", "h2"]), "snapshots")
     return diff_snapshots(now, "section_key", "snapshot_no", ("h1", "h2"))

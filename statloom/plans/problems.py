@@ -33,11 +33,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return section_versions(table(spark, d, "parsed_snapshots"), table(spark, d, "load_batches"))
 
 
+def p4_two_late_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """The same versions where late rows come in two deliveries, each applied to the stored chains."""
+    return section_versions(table(spark, d, "parsed_snapshots"), table(spark, d, "load_batches"), 2)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return section_changes(table(spark, d, "parsed_snapshots"), table(spark, d, "load_batches"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_by_table_and_month, p4_found, p6_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p3_found, p3_by_table_and_month, p4_found, p4_two_late_deliveries, p6_found)}
 
 
 def _sql_text(c: str) -> str:
@@ -94,3 +99,4 @@ SELECT coalesce(x.section_key, y.section_key) AS section_key, coalesce(x.n, y.n
 FROM (SELECT * FROM c WHERE n >= 2) x FULL JOIN (SELECT * FROM c WHERE n <= 7) y ON x.section_key = y.section_key AND x.n = y.n + 1
 WHERE y.n IS NULL OR x.n IS NULL OR x.b IS DISTINCT FROM y.b OR x.h IS DISTINCT FROM y.h""",
 }
+SQL["p4_two_late_deliveries"] = SQL["p4_found"]

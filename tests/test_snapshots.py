@@ -1,5 +1,6 @@
 """Chains and differences against plain versions over dictionaries."""
 
+import os
 import random
 import unicodedata
 from datetime import datetime, timedelta
@@ -118,17 +119,59 @@ def test_diff_of_many_keys_discards_equal_chunks(spark):
     assert {tuple(r) for r in diff_snapshots(df, "k", "n", ("a", "b")).collect()} == {("k0005", 2, "added"), ("k0700", 2, "changed"), ("k0999", 2, "removed")}
 
 
-def test_store_replaces_touched_chains_at_once(spark, tmp_path):
-    schema, how = "e string, n int, t int, v string", ("e", "n", ["t"], ["v"])
-    first = [("a", 1, 1, "x"), ("a", 2, 1, "x"), ("b", 1, 1, "y"), ("b", 2, 1, "z")]
+STORED, HOW = "e string, n int, t int, v string", ("n", ["t"], ["v"])
+
+
+def stored(df):
+    return sorted(tuple(r) for r in df.select("e", "first_n", "last_n", "v").collect())
+
+
+def files(root):
+    return {f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_store_rewrites_the_parts_of_touched_chains_alone(spark, tmp_path):
+    first = [("a", 1, 1, "x"), ("a", 2, 1, "x"), ("b", 1, 1, "y"), ("b", 2, 1, "z"), *((f"k{i}", 1, 1, "k") for i in range(40))]
     late = [("a", 2, 2, "w"), ("c", 2, 2, "n")]
-    store = ChainStore(spark, f"file://{tmp_path}/chains")
+    store = ChainStore(spark, f"file://{tmp_path}/chains", "e", 16)
     assert store.read() is None
-    df = spark.createDataFrame(first, schema)
-    assert store.apply_late(df, df, *how) == 1
-    all_ = spark.createDataFrame(first + late, schema)
-    assert store.apply_late(all_, spark.createDataFrame(late, schema), *how) == 2
-    rows = lambda d: sorted(tuple(r) for r in d.select("e", "first_n", "last_n", "v").collect())
-    assert rows(store.read()) == rows(build_chains(all_, *how)) == [("a", 1, 1, "x"), ("a", 2, 2, "w"), ("b", 1, 1, "y"), ("b", 2, 2, "z"), ("c", 2, 2, "n")]
-    spark.createDataFrame([("lost", 1, 1, "x")], schema).write.parquet(f"{tmp_path}/chains/v3")  # a writer that died before its commit
-    assert store.version() == 2 and store.replace(store.read()) == 3 and len(rows(store.read())) == 5
+    df, all_, touched = (spark.createDataFrame(x, STORED) for x in (first, first + late, late))
+    assert store.apply_late(df, df, *HOW) == 1
+    before, parts = files(tmp_path), store._current()[1]["parts"]
+    assert store.apply_late(all_, touched, *HOW) == 2
+    now = store._current()[1]["parts"]
+    assert stored(store.read()) == stored(build_chains(all_, "e", *HOW)) and before < files(tmp_path)
+    assert 1 <= sum(parts.get(k) != v for k, v in now.items()) <= 2
+    assert store.apply_late(all_, touched.limit(0), *HOW) == 2
+    assert store.replace(store.read()) == 3 and len(stored(store.read())) == 45
+
+
+def test_of_two_writers_the_second_fails_and_the_first_stays(spark, tmp_path):
+    a, b = (ChainStore(spark, f"file://{tmp_path}/chains", "e", 4) for _ in range(2))
+    x, y, z = (build_chains(spark.createDataFrame([(k, 1, 1, "v")], STORED), "e", *HOW) for k in "xyz")
+    assert a.replace(x) == 1
+    seen, old = b._current()
+    assert a.replace(y) == 2
+    with pytest.raises(RuntimeError, match="another writer"):
+        b._write(seen, old, z, range(4))
+    assert [r[0] for r in stored(a.read())] == ["y"] and b.version() == 2
+    assert b.replace(z) == 3 and [r[0] for r in stored(a.read())] == ["z"]
+
+
+def test_a_writer_that_is_lost_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    store = ChainStore(spark, f"file://{tmp_path}/chains", "e", 4)
+    x, y = (build_chains(spark.createDataFrame([(k, 1, 1, "v")], STORED), "e", *HOW) for k in "xy")
+    store.replace(x)
+    with monkeypatch.context() as m:
+        m.setattr(ChainStore, "_commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            store.replace(y)
+    assert store.version() == 1 and [r[0] for r in stored(store.read())] == ["x"]
+    assert store.replace(y) == 2
+
+
+@pytest.mark.parametrize("deliveries", [2, 3])
+def test_late_rows_in_several_deliveries(spark, deliveries):
+    data, batches = made(3)
+    s, b = spark.createDataFrame([tuple(r.values()) for r in data], SCHEMA), spark.createDataFrame(batches, BATCHES)
+    assert {tuple(r) for r in section_versions(s, b, deliveries).collect()} == versions(current(data, batches))
