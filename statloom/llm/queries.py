@@ -105,6 +105,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each document stands elsewhere too."""
     return shared_coverage(table(spark, d, "documents"))
 
 
@@ -135,7 +136,6 @@ r AS (SELECT item_id, doc_id, max(n) AS n FROM (SELECT item_id, doc_id, way, isl
 SELECT item_id, count(*) AS n_docs, max(n) AS longest_run, count_if(a <> '' AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || a || ' ')) AS n_docs_with_answer FROM r JOIN d USING (doc_id) JOIN i USING (item_id) GROUP BY item_id""",
     "p9_found": f"WITH {_GRAMS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN t b ON a.h = b.h AND a.doc_id < b.doc_id",
     "p9_coverage": f"""WITH {_GRAMS}, c AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY text) END AS class_id, CASE WHEN text IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY text) END AS copies FROM documents),
-v AS (SELECT doc_id, sum(least(400, coalesce(e - k, 400)))::BIGINT AS n FROM (SELECT doc_id, k, lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS e FROM t) GROUP BY 1),
-l AS (SELECT x.class_id AS a, count(DISTINCT y.class_id) AS n FROM t a JOIN t b ON a.h = b.h JOIN c x ON x.doc_id = a.doc_id JOIN c y ON y.doc_id = b.doc_id WHERE x.class_id <> y.class_id GROUP BY 1)
-SELECT c.doc_id, class_id, copies, coalesce(l.n, 0) AS n_links, coalesce(length(text), 0) AS n_chars, coalesce(v.n, 0) AS shared_chars FROM c LEFT JOIN v USING (doc_id) LEFT JOIN l ON l.a = class_id""",
+v AS (SELECT doc_id, sum(least(400, coalesce(e - k, 400)))::BIGINT AS n FROM (SELECT doc_id, k, lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS e FROM t) GROUP BY 1)
+SELECT c.doc_id, class_id, copies, coalesce(length(text), 0) AS n_chars, coalesce(v.n, 0) AS shared_chars FROM c LEFT JOIN v USING (doc_id)""",
 }

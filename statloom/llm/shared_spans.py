@@ -82,11 +82,11 @@ def _sliding(a: np.ndarray, w: int, f: np.ufunc) -> np.ndarray:
     return f(after[:n], before[w - 1 : w - 1 + n])
 
 
-def anchors(x: np.ndarray, owner: np.ndarray, how: Spans) -> tuple[np.ndarray, np.ndarray]:
+def anchors(x: np.ndarray, owner: np.ndarray, how: Spans, spaced: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors in texts that lie one after the other.
 
     owner: number of each code point's text. An anchor is the smallest hash of some window that lies in
-    one text. In a run of equal neighbouring hashes only the ends are kept.
+    one text. In a run of equal neighbouring hashes only the ends are kept, or if ``spaced`` some between as well, so that every stretch of ``length`` still has one.
     """
     w = how.window
     if len(x) < how.length:
@@ -99,6 +99,8 @@ def anchors(x: np.ndarray, owner: np.ndarray, how: Spans) -> tuple[np.ndarray, n
     keep = (top == h) & (h != 0)
     inner = np.zeros(len(h), bool)
     inner[1:-1] = (h[1:-1] == h[:-2]) & (h[1:-1] == h[2:]) & keep[:-2] & keep[2:]
+    if spaced:
+        inner[:: how.length - how.gram] = False
     at = np.flatnonzero(keep & ~inner)
     return at, h[at]
 
@@ -128,7 +130,7 @@ def _pieces(texts: list[str], how: Spans) -> Iterator[tuple[list[tuple[int, int]
         yield flush()
 
 
-def anchor_rows(docs: DataFrame, how: Spans) -> DataFrame:
+def anchor_rows(docs: DataFrame, how: Spans, spaced: bool = False) -> DataFrame:
     """(h, cls, pos): anchors of the texts, those of equal texts once in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +144,7 @@ def anchor_rows(docs: DataFrame, how: Spans) -> DataFrame:
                     texts.append(t)
             of = np.array(cls, np.int64)
             for group, x, owner in _pieces(texts, how):
-                at, h = anchors(x, owner, how)
+                at, h = anchors(x, owner, how, spaced)
                 own = owner[at]
                 start = np.searchsorted(owner, np.arange(len(group)))
                 pos = at - start[own] + np.array([o for _, o in group], np.int64)[own]
@@ -263,23 +265,97 @@ def sharing_pairs(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
     return across.unionByName(within)
 
 
+def _pieces_of(text: str, at: np.ndarray, how: Spans) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """(code points, offset, places) of the parts of a text that lie around sorted places, ``length`` and more on either side; a very long one in pieces."""
+    for o in range(0, len(text), how.chunk):
+        own = at[np.searchsorted(at, o) : np.searchsorted(at, o + how.chunk)]
+        if len(own):
+            low = max(0, int(own[0]) - how.length)
+            yield codes(text[low : int(own[-1]) + how.length + how.step]).astype(np.uint64), low, own
+
+
+class _Hashes:
+    """Hashes of any stretch of a text; equal stretches have equal ones."""
+
+    def __init__(self, x: np.ndarray):
+        up, self.down = _power_tables(max(1, len(x)))
+        self.sums = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x * up[: len(x)], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, size: int) -> np.ndarray:
+        return _mix((self.sums[start + size] - self.sums[start]) * self.down[start]).view(np.int64)
+
+
+def _blocks(cls: int, at: list[int], text: str, how: Spans) -> Iterator[tuple]:
+    """(cls, block, inner, outer) for each ``step`` of starts of stretches of ``length`` that hold an anchor: hashes of what all these have in common and of all that they reach over.
+
+    ``block`` is the last of the starts. outer is None where the text ends before.
+    """
+    w = how.step
+    p = np.array(sorted(at), np.int64)
+    starts = np.unique(np.concatenate([p - k for k in range(0, how.length - how.gram + w, w)]))
+    inner, outer = how.length - w + 1, how.length + w - 1
+    starts = starts[(starts >= 0) & (starts + inner <= len(text))]
+    for x, low, own in _pieces_of(text, starts, how):
+        h, s = _Hashes(x), own - low
+        keys, wide = h.of(s, inner), s - (w - 1)
+        fits = (wide >= 0) & (s + how.length <= len(x))
+        around = np.zeros(len(s), np.int64)
+        around[fits] = h.of(wide[fits], outer)
+        yield from zip([cls] * len(s), own.tolist(), keys.tolist(), [v if f else None for v, f in zip(around.tolist(), fits.tolist(), strict=True)], strict=True)
+
+
+def _stretches(cls: int, at: list[int], text: str, how: Spans) -> Iterator[tuple]:
+    """(cls, start, key) of all stretches of ``length`` of blocks."""
+    p = np.array(sorted(at), np.int64)
+    starts = np.unique(np.concatenate([p - k for k in range(how.step)]))
+    starts = starts[(starts >= 0) & (starts + how.length <= len(text))]
+    for x, low, own in _pieces_of(text, starts, how):
+        yield from zip([cls] * len(own), own.tolist(), _Hashes(x).of(own - low, how.length).tolist(), strict=True)
+
+
+def _each_text(df: DataFrame, make, columns: list[str], how: Spans) -> DataFrame:
+    """Rows that ``make`` gives for each (cls, at, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c, at, t in zip(*(b.column(n).to_pylist() for n in ("cls", "at", "text")), strict=True):
+                out = list(make(c, at, t, how))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(col, pa.int64()) for col in zip(*out, strict=True)], columns)
+
+    return df.select("cls", "at", "text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+
+
 def shared_coverage(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
-    """One row per document: (doc_id, class_id, copies, n_links, n_chars, shared_chars).
+    """One row per document: (doc_id, class_id, copies, n_chars, shared_chars).
+
+    class_id is the smallest doc_id with that text, shared_chars the number of its characters in spans of at least ``length`` that stand
+    elsewhere too: all of them where it has copies and at least ``length`` characters. Null texts have class_id = doc_id and zeros.
 
-    class_id is the smallest doc_id with that text, n_links the number of other classes with a span in common,
-    shared_chars the number of its characters in spans that stand elsewhere too: all of them where it has copies and at least ``length``
-    characters. Null texts have class_id = doc_id and zeros.
+    No pair of texts is made, so the work grows with the texts alone, however many share a passage. Anchors that several classes have are the seeds, and
+    each is extended both ways in blocks of ``step``: where several classes have what a block's stretches have in common, and all of
+    these have the same around it, the block is shared as a whole; only else are its stretches compared one by one. Keys are counted before they meet, so
+    a key of very many texts is no group anywhere.
     """
-    reps = shared_repeats(docs, how)
-    ends = F.array(F.struct(F.col("cls_a").alias("cls"), F.col("cls_b").alias("other"), F.col("start_a").alias("s")), F.struct(F.col("cls_b").alias("cls"), F.col("cls_a").alias("other"), F.col("start_b").alias("s")))
-    sides = materialize(reps.select("n", F.explode(ends).alias("e")).select("e.cls", "e.other", "e.s", (F.col("e.s") + F.col("n")).alias("t")), "sides")
-    links = sides.groupBy("cls").agg(F.count_distinct("other").alias("n_links"))
-    by = Window.partitionBy("cls").orderBy("s", "t").rowsBetween(Window.unboundedPreceding, -1)
-    part = F.greatest(F.lit(0), F.col("t") - F.greatest(F.col("s"), F.coalesce(F.max("t").over(by), F.lit(0))))
-    covered = sides.select("cls", "s", "t").distinct().withColumn("new", part).groupBy("cls").agg(F.sum("new").alias("covered"))
+    d = with_class(docs)
+    all_ = materialize(anchor_rows(d, how, True).distinct(), "anchors")
+    several = lambda rows, key: rows.groupBy(key).agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select(key)
+    seeds = materialize(all_.join(several(all_, "h"), "h", "left_semi").groupBy("cls").agg(F.collect_set("pos").alias("at")), "seeds")  # as many as a text holds
+    first = d.select("doc_id", "cls").join(seeds.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    texts = materialize(docs.select("doc_id", "text").join(first, "doc_id").select("cls", "text"), "texts")
+    blocks = materialize(_each_text(seeds.join(texts, "cls"), _blocks, ["cls", "block", "inner", "outer"], how), "blocks")
+    one = (F.min("outer") == F.max("outer")) & ~F.bool_or(F.col("outer").isNull())
+    state = blocks.groupBy("inner").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.coalesce(one, F.lit(False)).alias("whole")).where("lo <> hi").select("inner", "whole")
+    held = materialize(blocks.join(state, "inner").select("cls", "block", "whole"), "held")
+    open_ = held.where("not whole").groupBy("cls").agg(F.collect_list("block").alias("at"))
+    stretches = materialize(_each_text(open_.join(texts, "cls"), _stretches, ["cls", "start", "key"], how), "stretches")
+    ends = stretches.join(several(stretches, "key"), "key", "left_semi").select("cls", "start", (F.col("start") + how.length).alias("end"))
+    sides = held.where("whole").select("cls", (F.col("block") - (how.step - 1)).alias("start"), (F.col("block") + how.length).alias("end")).unionByName(ends)
+    by = Window.partitionBy("cls").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)  # one text's
+    part = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(by), F.lit(0))))
+    covered = sides.withColumn("new", part).groupBy("cls").agg(F.sum("new").alias("covered"))
     members = docs.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("cls"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"))
-    classes = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
-    classes = classes.join(links, "cls", "left").join(covered, "cls", "left")
+    classes = members.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")).join(covered, "cls", "left")
     whole = (F.col("copies") > 1) & (F.col("n_chars") >= how.length)
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return members.join(classes, "cls", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), zero("n_links").alias("n_links"), "n_chars", F.when(whole, F.col("n_chars")).otherwise(zero("covered")).alias("shared_chars"))
+    return members.join(classes, "cls", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), "n_chars", F.when(whole, F.col("n_chars")).otherwise(F.coalesce("covered", F.lit(0)).cast("long")).alias("shared_chars"))

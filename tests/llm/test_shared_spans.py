@@ -58,11 +58,43 @@ def test_repeats_are_maximal(spark):
         assert ea == len(a) or eb == len(b) or a[ea] != b[eb]
 
 
+def covered(texts, n):
+    """Characters in stretches that stand in another text too, all where there are copies."""
+    where = {}
+    for i, t in enumerate(texts):
+        for k in range(len(t or "") - n + 1):
+            where.setdefault(t[k : k + n], set()).add(t)
+    out = []
+    for t in texts:
+        own = set()
+        for k in range(len(t or "") - n + 1):
+            if len(where[t[k : k + n]]) > 1 or texts.count(t) > 1:
+                own.update(range(k, k + n))
+        out.append(len(own))
+    return out
+
+
 def test_coverage(spark):
     x, y = "q" * 3 + "abcdefghij" * 5, "abcdefghij" * 5 + "r" * 9
     texts = [x, y, y, "short", None, "z" * 30]
-    got = {r.doc_id: (r.class_id, r.copies, r.n_links, r.n_chars, r.shared_chars) for r in shared_coverage(frame(spark, texts), HOW).collect()}
-    assert got == {0: (0, 1, 1, 53, 50), 1: (1, 2, 1, 59, 59), 2: (1, 2, 1, 59, 59), 3: (3, 1, 0, 5, 0), 4: (4, 1, 0, 0, 0), 5: (5, 1, 0, 30, 0)}
+    got = {r.doc_id: (r.class_id, r.copies, r.n_chars, r.shared_chars) for r in shared_coverage(frame(spark, texts), HOW).collect()}
+    assert got == {0: (0, 1, 53, 50), 1: (1, 2, 59, 59), 2: (1, 2, 59, 59), 3: (3, 1, 5, 0), 4: (4, 1, 0, 0), 5: (5, 1, 30, 0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_coverage_against_brute_force(spark, seed):
+    texts = made(seed, 120)
+    got = {r.doc_id: r.shared_chars for r in shared_coverage(frame(spark, texts), HOW).collect()}
+    assert [got[i] for i in range(len(texts))] == covered(texts, HOW.length)
+
+
+def test_a_passage_in_very_many_texts_makes_no_pairs(spark):
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
+    passage = word(500)
+    texts = [word(rng.randint(20, 200)) + passage + word(rng.randint(20, 200)) for _ in range(4000)] + [passage + "x"] * 4000
+    got = {r.doc_id: r.shared_chars for r in shared_coverage(frame(spark, texts)).collect()}
+    assert all(500 <= got[i] <= 512 for i in range(4000)) and all(got[i] == 501 for i in range(4000, 8000))
 
 
 def test_empty_table(spark):
