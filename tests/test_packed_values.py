@@ -44,6 +44,7 @@ CASES = [
     ("[; ,]", []),
     (None, []),
     ("no law here; none", ["no law here; none"]),
+    ("L 1990, c 5\x01; am L\x02 1991, c 6; am L 1992, c 7", ["L 1990, c 5\x01; am L\x02 1991, c 6", "am L 1992, c 7"]),
     ('"am L 1990, c 5', ['"am L 1990, c 5']),
 ]
 
