@@ -178,16 +178,13 @@ def f22_note_kinds(spark: SparkSession, d: str) -> DataFrame:
 _YEARED = r"'\[[^\[\]]*\b(?:1[6-9][0-9]{2}|20[0-9]{2})\b[^\[\]]*\]'"
 
 
-@query(f"SELECT record_id, coalesce(list_last(regexp_extract_all(t, {_YEARED})), '') AS history, CASE WHEN coalesce(list_last(regexp_extract_all(t, {_YEARED})), '') = '' THEN t ELSE b END AS body FROM (SELECT record_id, 'Text of ' || record_id AS b, 'Text of ' || record_id || ' ' || history AS t, history FROM parsed WHERE regexp_matches(history, '^\\[[^\\[\\]]*\\b(1[6-9][0-9]{{2}}|20[0-9]{{2}})\\b[^\\[\\]]*\\]$') OR history = '')")
+@query(
+    f"""WITH t AS (SELECT record_id, concat_ws(' ', bodyText, history) AS t FROM parsed), h AS (SELECT *, coalesce(list_last(regexp_extract_all(t, {_YEARED})), '') AS h FROM t),
+r AS (SELECT *, CASE WHEN h = '' THEN t ELSE trim(t[:length(t) - strpos(reverse(t), reverse(h)) + 1 - length(h)] || t[length(t) - strpos(reverse(t), reverse(h)) + 2:]) END AS r FROM h)
+SELECT record_id, h AS history, CASE WHEN r = '' THEN t ELSE r END AS body FROM r"""
+)
 def f24_history_split(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "parsed").where(F.col("history").rlike(r"^\[[^\[\]]*\b(?:1[6-9][0-9]{2}|20[0-9]{2})\b[^\[\]]*\]\z") | (F.col("history") == ""))
-    t = F.concat(F.lit("Text of "), F.col("record_id").cast("string"), F.lit(" "), "history")
-    return p.select("record_id", X.history_of(t).alias("history"), X.without_history(t).alias("body"))
-
-
-@query()
-def f24_all_histories(spark: SparkSession, d: str) -> DataFrame:
-    """The split over all rows: each body followed by its history, in whatever form."""
+    """Each body followed by its history, in whatever form, split again."""
     t = F.concat_ws(" ", "bodyText", "history")
     return table(spark, d, "parsed").select("record_id", X.history_of(t).alias("history"), X.without_history(t).alias("body"))
 
@@ -407,23 +404,18 @@ def j23_missing_parents(spark: SparkSession, d: str) -> DataFrame:
     return V.missing_parents(p, table(spark, d, "chapters"), "__chapter", "chapter_key").select("record_id", "chapterNumber")
 
 
-_SNAP = "SELECT sectionNumber AS key, max_by(coalesce(title, '~') || chr(1) || coalesce(bodyText, '~') || chr(1) || coalesce(history, '~'), {{row_id}}) AS t FROM parsed_snapshots WHERE batch_id = {b} GROUP BY 1"
+_STATES = """b AS (SELECT batch_id, snapshot_no, lag(snapshot_no) OVER (ORDER BY snapshot_no) AS before FROM load_batches WHERE status = 'complete'),
+t AS (SELECT snapshot_no, before, sectionNumber AS key, max_by(coalesce(title, '~') || chr(1) || coalesce(bodyText, '~') || chr(1) || coalesce(history, '~'), row_id) AS t FROM parsed_snapshots JOIN b USING (batch_id) GROUP BY ALL),
+states AS (SELECT n.snapshot_no, n.key, CASE WHEN o.snapshot_no IS NULL THEN 'created' WHEN n.t = o.t THEN 'unchanged' ELSE 'changed' END AS state FROM t n LEFT JOIN t o ON n.key = o.key AND n.before = o.snapshot_no WHERE n.before IS NOT NULL)"""
 
 
-@query("SELECT n.key, CASE WHEN o.key IS NULL THEN 'created' WHEN n.t = o.t THEN 'unchanged' ELSE 'changed' END AS state FROM (" + _SNAP.format(b=110).replace("{row_id}", "row_id") + ") n LEFT JOIN (" + _SNAP.format(b=109).replace("{row_id}", "row_id") + ") o ON n.key = o.key")
+@query(f"WITH {_STATES} SELECT * FROM states")
 def k9_changed_rows(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "parsed_snapshots")
-    one = lambda b: s.where(F.col("batch_id") == b).groupBy(F.col("sectionNumber").alias("key")).agg(F.max_by(F.struct("title", "bodyText", "history"), "row_id").alias("t"))
-    return V.changed_rows(one(110), one(109), "key", F.xxhash64(F.to_json("t", {"ignoreNullFields": "false"})))
-
-
-@query()
-def k9_all_changes(spark: SparkSession, d: str) -> DataFrame:
     """(snapshot_no, key, state) of every complete delivery against the complete one before it; the first has none before it."""
     b = table(spark, d, "load_batches").where("status = 'complete'")
     b = b.select("batch_id", "snapshot_no", F.lead("snapshot_no").over(Window.orderBy("snapshot_no")).alias("next"), F.lag("snapshot_no").over(Window.orderBy("snapshot_no")).alias("before"))
     s = table(spark, d, "parsed_snapshots").select("batch_id", F.col("sectionNumber").alias("key"), "row_id", F.struct("title", "bodyText", "history").alias("t"))
-    s = s.groupBy("batch_id", "key").agg(F.max_by("t", "row_id").alias("t")).join(F.broadcast(b), "batch_id")
+    s = s.groupBy("batch_id", "key").agg(F.max_by("t", "row_id").alias("t")).join(b, "batch_id")
     old = s.where("next is not null").select(F.col("next").alias("snapshot_no"), "key", "t")
     return V.changed_rows(s.where("before is not null").select("snapshot_no", "key", "t"), old, ["snapshot_no", "key"], F.xxhash64(F.to_json("t", {"ignoreNullFields": "false"})))
 
@@ -479,12 +471,13 @@ def k7_sitemap(spark: SparkSession, d: str) -> DataFrame:
 # --- pages -------------------------------------------------------------------------------------
 
 
-@query(f"SELECT record_id, '§' || {sql_key('sectionNumber')} AS number, regexp_replace(trim(regexp_replace(translate(title, chr(160) || '‐‑‒­', ' ---'), '\\s+', ' ', 'g')), '^\\[([^\\[\\]]+)\\]$', '\\1') AS title, isRepealed FROM parsed WHERE sectionNumber IS NOT NULL AND title IS NOT NULL AND title <> ''")
+@query(f"WITH {_FILE} SELECT p.record_id, '§' || coalesce({sql_key('p.sectionNumber')}, upper(nums[1]) || CASE WHEN len(nums) = 3 THEN ':' || upper(nums[2]) || '-' || upper(nums[3]) ELSE '-' || upper(nums[2]) END || CASE WHEN len(decs) > 0 THEN '.' || array_to_string(decs, '') ELSE '' END) AS number, docType, headingIsSupplied, titleIsSupplied, isRepealed, CASE WHEN title <> '' THEN 'true' END AS title_as_recorded FROM parsed p JOIN h ON h.record_id = p.record_id")
 def d16_parse_sections(spark: SparkSession, d: str) -> DataFrame:
-    """Sections read from the raw pages again; their numbers, titles and flags must be the recorded ones."""
-    p = table(spark, d, "parsed").where("sectionNumber is not null and title <> ''")
+    """All raw pages read again: numbers and flags must be the recorded ones, and titles where one is recorded."""
+    p = table(spark, d, "parsed")
     r = P.parse_sections(p.select("record_id", "filename", F.col("bodyHtml").alias("html")), key="record_id")
-    return r.select("record_id", F.concat(F.lit("§"), section_key(F.col("sectionNumber"))).alias("number"), "title", "isRepealed")
+    r = r.join(p.select("record_id", X.unwrap_title(F.lit(""), I.clean(F.replace("title", F.lit("\u00ad"), F.lit(""))))["title"].alias("recorded")), "record_id")
+    return r.select("record_id", F.concat(F.lit("§"), section_key(F.col("sectionNumber"))).alias("number"), "docType", "headingIsSupplied", "titleIsSupplied", "isRepealed", F.when(F.col("recorded") != "", (F.col("title") == F.col("recorded")).cast("string")).alias("title_as_recorded"))
 
 
 @query()
@@ -493,8 +486,17 @@ def d16_all_sections(spark: SparkSession, d: str) -> DataFrame:
     return P.parse_sections(table(spark, d, "parsed").select("record_id", "filename", F.col("bodyHtml").alias("html")), key="record_id")
 
 
-@query()
+@query("SELECT chapter_key AS chapter, pos::BIGINT AS pos, CASE pos WHEN 1 THEN 'CHAPTER ' || chapter_key WHEN 2 THEN title ELSE chapter_key || '-' || (pos - 2) || ' & more' END AS text, CASE pos WHEN 1 THEN 'XHead Big' WHEN 2 THEN '' ELSE 'XRow' END AS classes FROM chapters, (SELECT unnest([1, 2, 3, 4]) AS pos)")
 def d25_html_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Paragraphs of index pages written from the inventory, with entities, odd blanks, comments and unclosed tags."""
+    k = F.col("chapter_key")
+    html = F.concat(F.lit("<!-- <p>no</p> --><P class='XHead Big'>CHAPTER&nbsp;"), k, F.lit("<p>\n "), "title", F.lit("</p><p>&nbsp;</p><p class=XRow><b>"), k, F.lit("-1</b> &amp;&#160;more<p class=XRow>"), k, F.lit("\u2011<i>2</i> &amp; more</body>"))
+    r = P.html_paragraphs(table(spark, d, "chapters").select(k.alias("chapter"), html.alias("html")), "chapter")
+    return r.select("chapter", "pos", "text", F.array_join("classes", " ").alias("classes"))
+
+
+@query()
+def d25_page_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return P.html_paragraphs(table(spark, d, "parsed").select("record_id", F.col("bodyHtml").alias("html")), "record_id")
 
 
@@ -517,7 +519,7 @@ def citing_corpus(spark: SparkSession, d: str) -> DataFrame:
     i = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").distinct()
     t = (F.col("l_partkey") * 7 + F.col("l_suppkey")) % n
     number = lambda t: F.concat((t % CHAPTERS + 1).cast("string"), F.lit("-"), t.cast("string"))
-    k, lit = F.col("l_linenumber") % 7, F.lit
+    k, lit = (F.col("l_linenumber") * 3 + F.col("l_partkey")) % 11, F.lit
     text = (
         F.when(k == 0, F.concat(lit("section "), number(t)))
         .when(k == 1, F.concat(lit("sections "), number(t), lit(" and ["), number((t + 1) % n), lit("]")))
@@ -525,7 +527,11 @@ def citing_corpus(spark: SparkSession, d: str) -> DataFrame:
         .when(k == 3, F.concat(lit("chapter "), (t % CHAPTERS + 1).cast("string"), lit(" of the Internal Revenue Code")))
         .when(k == 4, F.concat(lit("§"), (t % CHAPTERS + 1).cast("string"), lit("-"), (t + 10_000_000).cast("string")))
         .when(k == 5, F.concat(lit("H.R.S. §"), number(t)))
-        .otherwise(F.concat(lit("sections "), number(t), lit(" to "), (t % CHAPTERS + 1).cast("string"), lit("-"), (t + 2 * CHAPTERS).cast("string")))
+        .when(k == 6, F.concat(lit("sections "), number(t), lit(" to "), (t % CHAPTERS + 1).cast("string"), lit("-"), (t + 2 * CHAPTERS).cast("string")))
+        .when(k == 7, F.concat(lit("section "), number(t), lit("-3")))
+        .when(k == 8, F.concat(lit("chapter "), number(t)))
+        .when(k == 9, F.concat(lit("Section  900-"), t.cast("string")))
+        .otherwise(F.concat(lit("R.L.H. 1955, §"), number(t), lit("\n\nId. at §"), number((t + 1) % n)))
     )
     body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", text.alias("t")))), lambda x: x["t"]), "; see ")
     return i.groupBy("l_orderkey").agg(body.alias("bodyText")).select(F.concat(F.lit("§"), number(F.col("l_orderkey"))).alias("sectionNumber"), "bodyText", F.array().cast("array<struct<heading:string,text:string>>").alias("annotations"), F.lit("hrs").alias("docType"), F.lit("").alias("title"))
@@ -543,10 +549,28 @@ def _resolved(spark: SparkSession, d: str) -> DataFrame:
     return C.resolve(C.detect(b, ["source", "ord", "block"], "text"), *order_targets(spark, d))
 
 
-_CITES = f"""n AS (SELECT max(o_orderkey) + 1 AS n FROM orders), i AS (SELECT DISTINCT l_orderkey AS o, l_linenumber % 7 AS k, l_linenumber AS l, l_partkey AS p, l_suppkey AS q, (l_partkey * 7 + l_suppkey) % n AS t, n FROM lineitem, n),
-c AS (SELECT o, k, 0 AS j, CASE WHEN k = 2 THEN (t % 97 + 1)::VARCHAR WHEN k = 3 THEN (t % {CHAPTERS} + 1)::VARCHAR WHEN k = 4 THEN (t % {CHAPTERS} + 1) || '-' || (t + 10000000) ELSE (t % {CHAPTERS} + 1) || '-' || t END AS number, CASE k WHEN 2 THEN 'bare-number' WHEN 3 THEN 'foreign-law' WHEN 4 THEN 'absent-section' WHEN 5 THEN 'superseded' ELSE 'linked' END AS reason FROM i
-UNION ALL SELECT o, k, 1, ((t + 1) % n) % {CHAPTERS} + 1 || '-' || ((t + 1) % n), 'linked' FROM i WHERE k = 1
+_CITES = f"""n AS (SELECT max(o_orderkey) + 1 AS n FROM orders), i AS (SELECT DISTINCT l_orderkey AS o, (l_linenumber * 3 + l_partkey) % 11 AS k, l_linenumber AS l, l_partkey AS p, l_suppkey AS q, (l_partkey * 7 + l_suppkey) % n AS t, n FROM lineitem, n),
+c AS (SELECT o, k, 0 AS j, CASE WHEN k = 2 THEN (t % 97 + 1)::VARCHAR WHEN k = 3 THEN (t % {CHAPTERS} + 1)::VARCHAR WHEN k = 4 THEN (t % {CHAPTERS} + 1) || '-' || (t + 10000000) WHEN k = 9 THEN '900-' || t ELSE (t % {CHAPTERS} + 1) || '-' || t END AS number,
+CASE k WHEN 2 THEN 'bare-number' WHEN 3 THEN 'foreign-law' WHEN 4 THEN 'absent-section' WHEN 5 THEN 'superseded' WHEN 7 THEN 'admin-rules' WHEN 8 THEN 'admin-rules' WHEN 9 THEN 'unresolved' WHEN 10 THEN 'superseded' ELSE 'linked' END AS reason FROM i
+UNION ALL SELECT o, k, 1, ((t + 1) % n) % {CHAPTERS} + 1 || '-' || ((t + 1) % n), CASE k WHEN 1 THEN 'linked' ELSE 'superseded' END FROM i WHERE k IN (1, 10)
 UNION ALL SELECT o, k, 1, (t % {CHAPTERS} + 1) || '-' || (t + {2 * CHAPTERS}), CASE WHEN t + {2 * CHAPTERS} < n THEN 'linked' ELSE 'absent-section' END FROM i WHERE k = 6)"""
+# The same with their texts: w what an item says, h that as linked text.
+_SAID = f"""z AS (SELECT *, (t % {CHAPTERS} + 1) || '-' || t AS a, ((t + 1) % n) % {CHAPTERS} + 1 || '-' || ((t + 1) % n) AS b, (t % {CHAPTERS} + 1) || '-' || (t + {2 * CHAPTERS}) AS e FROM i),
+y AS (SELECT *, CASE k WHEN 0 THEN 'section ' || a WHEN 1 THEN 'sections ' || a || ' and [' || b || ']' WHEN 2 THEN 'section ' || (t % 97 + 1) WHEN 3 THEN 'chapter ' || (t % {CHAPTERS} + 1) || ' of the Internal Revenue Code' WHEN 4 THEN '§' || (t % {CHAPTERS} + 1) || '-' || (t + 10000000) WHEN 5 THEN 'H.R.S. §' || a
+WHEN 6 THEN 'sections ' || a || ' to ' || e WHEN 7 THEN 'section ' || a || '-3' WHEN 8 THEN 'chapter ' || a WHEN 9 THEN 'Section  900-' || t ELSE 'R.L.H. 1955, §' || a || chr(10) || chr(10) || 'Id. at §' || b END AS w FROM z),
+x AS (SELECT *, CASE k WHEN 0 THEN link('section ' || a, a) WHEN 1 THEN link('sections ' || a, a) || ' and ' || link('[' || b || ']', b) WHEN 4 THEN gone(w) WHEN 6 THEN link('sections ' || a, a) || ' to ' || CASE WHEN t + {2 * CHAPTERS} < n THEN link(e, e) ELSE gone(e) END ELSE w END AS h FROM y)"""
+_LINK = """'<a href="/hrs/' || {1} || '" aria-label="' || {0} || '">' || {0} || '</a>'"""
+_GONE = """'<span class="absent">' || {0} || '<span class="sr-only"> (not in the current code)</span></span>'"""
+
+
+def _spoken(sql: str) -> str:
+    """Links and remarks written out."""
+    import re
+
+    sql = re.sub(r"link\((.*?), (a|b|e)\)", lambda m: _LINK.format(m[1] if "||" not in m[1] else f"({m[1]})", m[2]), sql)
+    return re.sub(r"gone\((w|e)\)", lambda m: _GONE.format(m[1]), sql)
+
+
 _SOURCE = f"'§' || (o % {CHAPTERS} + 1) || '-' || o"
 
 
@@ -613,8 +637,16 @@ def g6_adjacency(spark: SparkSession, d: str) -> DataFrame:
     return G.adjacency(_edges(spark, d)).groupBy("node").agg(F.sum(size("cites")).alias("cites"), F.sum(size("citedBy")).alias("cited_by"))
 
 
-@query()
+@query(_spoken(f"WITH {_CITES}, {_SAID} SELECT {_SOURCE} AS source, string_agg(h, '; see ' ORDER BY l, p, q) AS html FROM x GROUP BY o"))
 def d10_linked_text(spark: SparkSession, d: str) -> DataFrame:
+    b = G.text_blocks(citing_corpus(spark, d))
+    found = C.resolve(C.detect(b, ["source"], "text"), *order_targets(spark, d))
+    return L.linked(b, found, ["source"], "text")
+
+
+@query()
+def d10_law_text(spark: SparkSession, d: str) -> DataFrame:
+    """The crawled sections' bodies as linked text."""
     b = G.text_blocks(sections(spark, d).drop("sectionNumber").withColumnRenamed("number", "sectionNumber")).where("block = 'body'")
     found = C.resolve(C.detect(b, ["source"], "text"), live_targets(spark, d), chapter_targets(spark, d))
     return L.linked(b, found, ["source"], "text")
@@ -627,12 +659,27 @@ def g1_law_edges(spark: SparkSession, d: str) -> DataFrame:
     return G.build_graph(s, live_targets(spark, d), chapter_targets(spark, d))
 
 
-@query()
+def _unresolved(blocks: DataFrame, targets: tuple[DataFrame, DataFrame]) -> DataFrame:
+    keys = ["source", "ord", "block"]
+    return C.unresolved_report(C.resolve(C.detect(blocks, keys, "text"), *targets).join(blocks, keys), F.col("text"), ["source", "ord", "seq"])
+
+
+@query(
+    _spoken(
+        f"""WITH {_CITES}, {_SAID}, g AS (SELECT *, {_SOURCE} AS source, string_agg(w, '; see ') OVER v AS said, string_agg(w, '; see ') OVER (PARTITION BY o ORDER BY l, p, q ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS body FROM x WINDOW v AS (PARTITION BY o ORDER BY l, p, q ROWS UNBOUNDED PRECEDING)),
+u AS (SELECT '900-' || t AS number, source, length(said) - length(w) AS s, length(said) AS e, body FROM g WHERE k = 9)
+SELECT number, count(*) AS n, arg_min(regexp_replace(substring(body, greatest(0, s - 40) + 1, e + 40 - greatest(0, s - 40)), '\\s+', ' ', 'g'), (source, s)) AS sample FROM u GROUP BY number ORDER BY n DESC, min((source, s)) LIMIT 20"""
+    )
+)
 def a9_unresolved_report(spark: SparkSession, d: str) -> DataFrame:
+    return _unresolved(G.text_blocks(citing_corpus(spark, d)), order_targets(spark, d))
+
+
+@query()
+def a9_law_report(spark: SparkSession, d: str) -> DataFrame:
+    """The same report over the crawled sections."""
     b = G.text_blocks(sections(spark, d).drop("sectionNumber").withColumnRenamed("number", "sectionNumber"))
-    keys = ["source", "ord", "block"]
-    r = C.resolve(C.detect(b, keys, "text"), live_targets(spark, d), chapter_targets(spark, d))
-    return C.unresolved_report(r.join(b, keys), F.col("text"), ["source", "ord", "seq"])
+    return _unresolved(b, (live_targets(spark, d), chapter_targets(spark, d)))
 
 
 @query("SELECT CASE n_nationkey % 5 WHEN 0 THEN 'uscon' WHEN 1 THEN 'const' WHEN 2 THEN 'org' WHEN 3 THEN 'adm' ELSE 'hhca' END AS doc_type, count(*) AS n FROM nation GROUP BY 1")
@@ -662,24 +709,31 @@ def x4_jumps(spark: SparkSession, d: str) -> DataFrame:
     return S.jumps(table(spark, d, "targets").select(F.col("target_key").alias("query")), pages)
 
 
-@query(f"WITH {_WORDS}, v AS (SELECT word FROM counts WHERE freq >= 3), q AS (SELECT word AS q FROM counts WHERE freq < 3 AND word NOT IN (SELECT word FROM v)), m AS (SELECT q, v.word AS s, damerau_levenshtein(q, v.word) AS d, CASE length(v.word) - length(q) WHEN 0 THEN 0 WHEN -1 THEN 1 ELSE 2 END AS r FROM q JOIN v ON abs(length(v.word) - length(q)) <= 1) SELECT q AS word, arg_min(s, (r, s)) AS suggestion, 1 AS distance FROM m WHERE d = 1 GROUP BY q")
-def x6_suggestions(spark: SparkSession, d: str) -> DataFrame:
-    """Vocabulary words one edit away from rare ones (at one edit the distances of both engines agree): the part of ``x6_all_suggestions`` that SQL can say."""
-    return x6_all_suggestions(spark, d).where("distance = 1")
+# Two edits at most, each place edited once: plain edits, or a swap of neighbours with one edit at most before or after it together.
+_NEAREST = f"""{_WORDS}, v AS (SELECT word FROM counts WHERE freq >= 3), q AS (SELECT word AS q FROM counts WHERE freq < 3),
+m AS (SELECT q, word AS s, levenshtein(q, word) AS d FROM q JOIN v ON abs(length(word) - length(q)) <= 2 AND damerau_levenshtein(q, word) <= 2),
+o AS (SELECT q, s, i, j FROM (SELECT q, s, i, unnest([i - 1, i, i + 1]) AS j FROM (SELECT q, s, unnest(range(1, length(q))) AS i FROM m)) WHERE j >= 1 AND j < length(s) AND q[i] = s[j + 1] AND q[i + 1] = s[j]),
+swapped AS (SELECT q, s, min(1 + damerau_levenshtein(q[:i - 1], s[:j - 1]) + damerau_levenshtein(q[i + 2:], s[j + 2:])) AS d FROM o GROUP BY ALL),
+f AS (SELECT m.q, m.s, least(m.d, coalesce(swapped.d, 9)) AS d, CASE length(m.s) - length(m.q) WHEN 0 THEN 0 WHEN -1 THEN 1 WHEN 1 THEN 2 WHEN -2 THEN 3 ELSE 4 END AS r FROM m LEFT JOIN swapped ON m.q = swapped.q AND m.s = swapped.s),
+nearest AS (SELECT q AS word, arg_min(s, (d, r, s)) AS suggestion, min(d)::INTEGER AS distance FROM f WHERE d <= 2 GROUP BY q)"""
 
 
-@query()
-def x6_all_suggestions(spark: SparkSession, d: str) -> DataFrame:
+@query(f"WITH {_NEAREST} SELECT * FROM nearest")
+def x6_suggestions(spark: SparkSession, d: str) -> DataFrame:
     """The nearest vocabulary word of every rare word that has one within two edits."""
     counts = S.word_counts(table(spark, d, "parsed"))
     vocab = S.vocabulary(counts).select("word")
     return S.suggestions(counts.where("freq < 3").select("word"), vocab)
 
 
-@query()
+@query(
+    f"""WITH {_NEAREST}, t AS (SELECT DISTINCT q FROM q JOIN v ON starts_with(v.word, q) AND length(v.word) <= length(q) + 12)
+SELECT 'section about ' || q.q AS query, q.q AS unknown, CASE WHEN t.q IS NULL THEN suggestion END AS suggestion, CASE WHEN t.q IS NULL THEN 'absent' ELSE 'typing' END AS state FROM q LEFT JOIN t ON t.q = q.q LEFT JOIN nearest ON nearest.word = q.q"""
+)
 def x5_spelling(spark: SparkSession, d: str) -> DataFrame:
     counts = S.word_counts(table(spark, d, "parsed"))
-    return S.check_spelling(counts.where("freq < 3").select(F.concat(F.lit("section about "), "word").alias("query")), S.vocabulary(counts))
+    known = S.vocabulary(counts).select("word").unionByName(spark.createDataFrame([("section",), ("about",)], "word string")).distinct()
+    return S.check_spelling(counts.where("freq < 3").select(F.concat(F.lit("section about "), "word").alias("query")), known)
 
 
 @query(
@@ -727,14 +781,9 @@ def j3_alias_resolution(spark: SparkSession, d: str) -> DataFrame:
     return C.resolve(found, sec, ch, aliases).select("o_orderkey", "number", "target")
 
 
-@query("SELECT state, count(*) AS n FROM (" + SQL["k9_changed_rows"] + ") GROUP BY state")
+@query(f"WITH {_STATES} SELECT snapshot_no, state, count(*) AS n FROM states GROUP BY ALL")
 def a16_run_counters(spark: SparkSession, d: str) -> DataFrame:
-    return k9_changed_rows(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
-def a16_all_counters(spark: SparkSession, d: str) -> DataFrame:
-    return k9_all_changes(spark, d).groupBy("snapshot_no", "state").agg(F.count(F.lit(1)).alias("n"))
+    return k9_changed_rows(spark, d).groupBy("snapshot_no", "state").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT record_id, regexp_replace(substring(bodyText, greatest(0, p - 41) + 1, (p + 4 + 40) - greatest(0, p - 41)), '[ \\t\\n\\x{0b}\\f\\r]+', ' ', 'g') AS sample FROM (SELECT record_id, bodyText, strpos(bodyText, 'shall') AS p FROM parsed) WHERE p > 0")
@@ -767,18 +816,9 @@ def j21_prefixes(spark: SparkSession, d: str) -> DataFrame:
     return S.being_typed(counts.select(F.substring("word", 1, 5).alias("word")).distinct(), S.vocabulary(counts))
 
 
-@query("SELECT 'asked ' || word || ' law' AS query, 'asked ' || suggestion || ' law' AS fixed FROM (" + SQL["x6_suggestions"] + ")")
+@query(f"WITH {_NEAREST} SELECT 'asked ' || word || ' law' AS query, 'asked ' || suggestion || ' law' AS fixed FROM nearest")
 def x7_fixed_queries(spark: SparkSession, d: str) -> DataFrame:
-    """Of ``x7_all_fixed_queries`` those one edit away, which SQL can say."""
-    return _fixed(x6_suggestions(spark, d))
-
-
-@query()
-def x7_all_fixed_queries(spark: SparkSession, d: str) -> DataFrame:
-    return _fixed(x6_all_suggestions(spark, d))
-
-
-def _fixed(s: DataFrame) -> DataFrame:
+    s = x6_suggestions(spark, d)
     return S.apply_fix(s.select(F.concat(F.lit("asked "), "word", F.lit(" law")).alias("query"), F.col("word").alias("unknown"), "suggestion"))
 
 
@@ -838,11 +878,12 @@ def r7_home_page(spark: SparkSession, d: str) -> DataFrame:
     return h.select("path", F.size(F.regexp_extract_all("html", F.lit('href="/hrs/volume/[0-9]+"'), F.lit(0))).cast("long").alias("volumes"))
 
 
-@query()
+@query(f"WITH {_CITES}, {_EDGES} SELECT \"to\" AS node, 'Cited by' AS list, count(*) AS n, count(*) > 5 AS folded, string_agg(\"from\" || CASE WHEN block = 'range' THEN ' (range)' ELSE '' END, '|' ORDER BY {sql_natural('\"from\"')}, \"from\", block = 'range') AS shown FROM edges GROUP BY 1")
 def r8_cited_by(spark: SparkSession, d: str) -> DataFrame:
     e = _edges(spark, d)
     sec, _ = order_targets(spark, d)
-    return L.cited_by(e, sec.select("number", F.col("number").alias("label"), "title"), 5)
+    shown = F.array_join(F.transform("rows", lambda x: F.concat(x["label"], F.when(x["in_range"], " (range)").otherwise(""))), "|")
+    return L.cited_by(e, sec.select("number", F.col("number").alias("label"), "title"), 5).select("node", "list", "n", "folded", shown.alias("shown"))
 
 
 @query()
