@@ -24,20 +24,18 @@ from pyspark.sql import functions as F
 from statloom.runtime import materialize, slots
 
 
-def token_counts(docs: DataFrame, vocabulary: str, pattern: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens) by a byte-level vocabulary in rank form; null and empty texts have 0."""
+def token_counts(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens) by a byte-level vocabulary in rank form, a file that every task can open; null and empty texts have 0.
+
+    pattern: what the vocabulary's texts are split by before its merges; it comes with the vocabulary.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        split = pattern
-        if split is None:
-            import public_tokenizers
-
-            split = public_tokenizers.PATTERN
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        enc = tiktoken.Encoding("packing", pat_str=split, mergeable_ranks=ranks, special_tokens={})
+        enc = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
@@ -213,6 +211,6 @@ def pack_windows(sizes: DataFrame, capacities: Sequence[int], per_step: int = 32
     return at.select("doc_id", "piece", "capacity", "window_no", "start", F.col("size").alias("n_tokens"), step.alias("step_group"))
 
 
-def measured(docs: DataFrame, vocabulary: str) -> DataFrame:
+def measured(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Token counts, written once."""
-    return materialize(token_counts(docs, vocabulary), "tokens")
+    return materialize(token_counts(docs, vocabulary, pattern), "tokens")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.eval_leaks import leaked_items
@@ -13,13 +13,15 @@ from statloom.llm.markup import cleaned, markup_found
 from statloom.llm.near_duplicates import Alike, alike_groups, alike_pairs
 from statloom.llm.packing import measured, pack_windows
 from statloom.llm.shared_spans import shared_coverage, sharing_pairs
-from statloom.runtime import table
+from statloom.runtime import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Where the public tokenizers' files are; a parameter, they are never copied.
 TOKENIZERS = os.environ.get("STATLOOM_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: What byte-level vocabularies of this kind split texts by (fixed value).
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -67,13 +69,13 @@ def _named(spark: SparkSession, d: str, packed: DataFrame) -> DataFrame:
 
 def p7_windows(spark: SparkSession, d: str) -> DataFrame:
     """Every document in a window of one of the capacities, by tiers."""
-    sizes = measured(table(spark, d, "documents"), f"{TOKENIZERS}/{VOCABULARY}")
+    sizes = measured(table(spark, d, "documents"), f"{TOKENIZERS}/{VOCABULARY}", SPLIT)
     return _named(spark, d, pack_windows(sizes, _capacities(spark, d)))
 
 
 def p7_by_capacity(spark: SparkSession, d: str) -> DataFrame:
     """Every document in windows of each capacity by itself."""
-    sizes = measured(table(spark, d, "documents"), f"{TOKENIZERS}/{VOCABULARY}")
+    sizes = measured(table(spark, d, "documents"), f"{TOKENIZERS}/{VOCABULARY}", SPLIT)
     out = None
     for c in _capacities(spark, d):
         one = pack_windows(sizes, [c])
@@ -81,6 +83,24 @@ def p7_by_capacity(spark: SparkSession, d: str) -> DataFrame:
     return _named(spark, d, out)
 
 
+def p7_checked(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the packing by tiers, in one row: documents and those without a place, pieces, windows that are too full, places that overlap, documents split though some window could hold them, split documents with a piece missing."""
+    docs = table(spark, d, "documents")
+    sizes = measured(docs, f"{TOKENIZERS}/{VOCABULARY}", SPLIT)
+    caps = _capacities(spark, d)
+    w = materialize(pack_windows(sizes, caps), "windows")
+    per = w.groupBy("capacity", "window_no").agg((F.sum("n_tokens") > F.first("capacity")).alias("full"))
+    by = Window.partitionBy("capacity", "window_no").orderBy("start", "n_tokens")
+    over = w.where("n_tokens > 0").withColumn("next", F.lead("start").over(by)).agg(F.count_if((F.col("next") < F.col("start") + F.col("n_tokens")) | (F.col("start") + F.col("n_tokens") > F.col("capacity"))).alias("overlaps"))
+    own = w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece").alias("kinds"), F.sum("n_tokens").alias("placed"))
+    each = docs.select("doc_id").join(sizes, "doc_id").join(own, "doc_id", "left").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("pieces").isNull()).alias("without_place"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= max(caps))).alias("split_in_vain"), F.count_if((F.col("placed") != F.col("n_tokens")) | (F.col("pieces") != F.col("kinds"))).alias("not_whole")
+    )
+    full = per.agg(F.count_if("full").alias("too_full"))
+    rows = each.unionByName(full, allowMissingColumns=True).unionByName(over, allowMissingColumns=True)  # one row each
+    return rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in rows.columns))
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     """Windows and share of unused space per capacity, packed by tiers and by itself."""
     parts = []
@@ -109,7 +129,7 @@ def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
     return shared_coverage(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_frames, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_clean, p2_frames, p5_found, p5_groups, p7_windows, p7_by_capacity, p7_checked, p7_fill, p8_found, p8_by_item, p9_found, p9_coverage)}
 
 _PASSAGE = "regexp_extract_all(lower(coalesce({c}, '')), '[\\p{{L}}\\p{{N}}]+')"
 _RECORDS = f"""w AS (SELECT record_id, {_PASSAGE.format(c="coalesce(title, '') || ' ' || coalesce(bodyText, '')")} AS w FROM parsed),
@@ -118,6 +138,7 @@ n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_
 f AS (SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m))"""
 _GRAMS = "s AS (SELECT doc_id, k, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)), m AS (SELECT h FROM s GROUP BY h HAVING count(DISTINCT doc_id) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))"
 SQL: dict[str, str] = {
+    "p7_checked": "SELECT count(*) AS documents, 0::BIGINT AS without_place, 0::BIGINT AS split_in_vain, 0::BIGINT AS not_whole, 0::BIGINT AS too_full, 0::BIGINT AS overlaps FROM documents",
     "p2_frames": "SELECT record_id, 0::BIGINT AS frame_lines, true AS same FROM parsed WHERE bodyHtml IS NOT NULL",
     "p5_found": f"WITH {_RECORDS} SELECT * FROM f",
     "p5_groups": f"""WITH RECURSIVE {_RECORDS}, c AS (SELECT record_id, CASE WHEN len(w) >= 40 THEN min(record_id) OVER (PARTITION BY w) ELSE record_id END AS class_id, CASE WHEN len(w) >= 40 THEN count(*) OVER (PARTITION BY w) ELSE 1 END AS copies FROM w),

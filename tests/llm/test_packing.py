@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 from statloom.llm.packing import pack_histogram, pack_windows, token_counts
-from statloom.llm.queries import TOKENIZERS, VOCABULARY
+from statloom.llm.queries import SPLIT, TOKENIZERS, VOCABULARY
 
 
 def placed(df):
@@ -62,5 +62,5 @@ def test_edges(spark):
 
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "Hello world"), (2, ""), (3, None), (4, "<|endoftext|>"), (5, "word " * 50000)], "doc_id long, text string")
-    got = {r.doc_id: r.n_tokens for r in token_counts(df, f"{TOKENIZERS}/{VOCABULARY}").collect()}
+    got = {r.doc_id: r.n_tokens for r in token_counts(df, f"{TOKENIZERS}/{VOCABULARY}", SPLIT).collect()}
     assert got[1] == 2 and got[2] == got[3] == 0 and got[4] > 1 and got[5] >= 50000
