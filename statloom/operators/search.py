@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,41 +132,94 @@ def jumps(queries: DataFrame, pages: DataFrame) -> DataFrame:
 # --- ranked search -----------------------------------------------------------------------------
 
 
-def _hits(c: str, terms: list[str]) -> list:
-    return [F.size(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(rf"(?<![a-z0-9])({t})(?![a-z0-9])"), F.lit(1))) for t in terms]
+_TERM = "[a-z0-9]+"
+INDEX_PARTS = 64
 
 
-def search(sections: DataFrame, query: str, k: int = 20, offset: int = 0, key: str = "sectionNumber", title: str = "title", body: str = "bodyText", annotations: str | None = None) -> DataFrame:
-    """The k best sections that hold every word of the query: (key, rank, snippet), rank by weighted counts, log-damped.
+def posting_rows(sections: DataFrame, key: str = "sectionNumber", title: str = "title", body: str = "bodyText", annotations: str | None = None) -> DataFrame:
+    """(term, key, in_title, in_body, in_notes): how often each word stands in each field of each section; null fields hold none."""
+    note = F.concat_ws(" ", F.transform(annotations, lambda a: a["text"])) if annotations else F.lit("")
+    said = lambda n, c: F.transform(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(_TERM), F.lit(0)), lambda t: F.struct(F.lit(n).alias("field"), t.alias("term")))
+    each = sections.select(F.col(key).alias("key"), F.explode(F.concat(said(0, F.col(title)), said(1, F.col(body)), said(2, note))).alias("t"))
+    n = lambda k: F.count_if(F.col("t.field") == k)
+    return each.groupBy(F.col("t.term").alias("term"), "key").agg(n(0).alias("in_title"), n(1).alias("in_body"), n(2).alias("in_notes"))
 
-    Words in quotes go together, a word after a minus must not occur. Ties in key order. The snippet is the text around the first hit
-    with the words marked. No stemming is done.
+
+def _index_part(term) -> object:
+    return F.pmod(F.xxhash64(term), F.lit(INDEX_PARTS)).cast("int")
+
+
+def write_index(postings: DataFrame, path: str) -> None:
+    """The inverted index: postings in parts by their term's hash, sorted by term within, so that a lookup reads a part's matching row groups alone.
+
+    A term of very many sections takes several files of its part, by key.
     """
-    import re
+    p = postings.withColumn("part", _index_part(F.col("term")))
+    p.repartition("part", F.pmod(F.xxhash64("key"), F.lit(8))).sortWithinPartitions("part", "term", "key").write.partitionBy("part").parquet(path)
+
+
+def postings_of(spark: SparkSession, path: str, terms: Sequence[str]) -> DataFrame:
+    """The postings of some terms, read by part and term."""
+    terms = sorted(set(terms))
+    parts = [r[0] for r in spark.createDataFrame([(t,) for t in terms], "term string").select(_index_part(F.col("term"))).distinct().collect()]  # one row per word of a query
+    return spark.read.parquet(path).where(F.col("part").isin(parts) & F.col("term").isin(terms)).drop("part")
 
+
+def parsed_query(query: str) -> tuple[list[str], list[str]]:
+    """(wanted, barred): words and quoted phrases, in lower case, their words parted by one blank; a minus before one bars it."""
     wanted, barred = [], []
     for minus, phrase, word in re.findall(r"(-?)(?:\"([^\"]+)\"|([^\s\"]+))", query.lower()):
-        t = r"\s+".join(re.findall(r"[a-z0-9]+", phrase or word))
+        t = " ".join(re.findall(_TERM, phrase or word))
         if t:
             (barred if minus else wanted).append(t)
-    if not wanted:
+    return wanted, barred
+
+
+def _hits(c: str, terms: list[str]) -> list:
+    return [F.size(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(rf"(?<![a-z0-9])({t})(?![a-z0-9])"), F.lit(1))) for t in terms]
+
+
+def search(sections: DataFrame, query: str, k: int = 20, offset: int = 0, key: str = "sectionNumber", title: str = "title", body: str = "bodyText", annotations: str | None = None, index: str | None = None) -> DataFrame:
+    """The k best sections that hold every word of the query: (key, rank, snippet), rank by weighted counts, log-damped.
+
+    Words in quotes go together, a word after a minus must not occur. Ties in key order. The snippet is the text around the first hit
+    with the words marked. No stemming is done. index: path of the sections' inverted index; with it only sections that hold all words are read, and where
+    the query has single words alone, only the k that are shown.
+    """
+    said, unsaid = parsed_query(query)
+    if not said:
         return sections.select(key, F.lit(0.0).alias("rank"), F.lit("").alias("snippet")).limit(0)
+    ranked = None
+    if index is not None:
+        terms = sorted({w for t in said for w in t.split()})
+        p = postings_of(sections.sparkSession, index, terms).groupBy(F.col("key").alias(key))
+        damped = lambda c: F.log1p(F.col(c).cast("double"))
+        times = F.element_at(F.create_map(*(F.lit(x) for t in terms for x in (t, float(said.count(t))))), F.col("term"))
+        weighed = times * (TITLE_WEIGHT * damped("in_title") + BODY_WEIGHT * damped("in_body") + (NOTE_WEIGHT * damped("in_notes") if annotations else F.lit(0.0)))
+        held = p.agg(F.count(F.lit(1)).alias("__n"), F.sum(weighed).alias("rank")).where(F.col("__n") == len(terms))
+        if unsaid or any(" " in t for t in said):
+            sections = sections.join(held.select(key), key, "left_semi")
+        else:
+            ranked = held.select(key, F.round("rank", 6).alias("rank")).orderBy(F.desc("rank"), key).offset(offset).limit(k)
+            sections = sections.join(ranked, key)
+    wanted, barred = ([t.replace(" ", r"\s+") for t in ts] for ts in (said, unsaid))
+    pattern = rf"(?i)(?<![a-z0-9])({'|'.join(wanted)})(?![a-z0-9])"
+    at = F.greatest(F.lit(1), F.regexp_instr(F.coalesce(body, F.lit("")), F.lit(pattern)) - 80)
+    snippet = F.regexp_replace(F.substr(F.coalesce(body, F.lit("")), at, F.lit(240)), pattern, "<mark>$1</mark>").alias("snippet")
+    if ranked is not None:
+        return sections.select(key, "rank", snippet).orderBy(F.desc("rank"), key)
     fields = [(title, TITLE_WEIGHT), (body, BODY_WEIGHT)]
     s = sections
     if annotations:
         s = s.withColumn("__notes", F.concat_ws(" ", F.transform(annotations, lambda a: a["text"])))
         fields.append(("__notes", NOTE_WEIGHT))
-    hits = [[h for h in _hits(f, wanted)] for f, _ in fields]
-    per_term = [sum(col[i] for col in hits[1:]) + hits[0][i] for i in range(len(wanted))]
-    rule = reduce(lambda a, b: a & b, (n > 0 for n in per_term))
+    hits = [_hits(f, wanted) for f, _ in fields]
+    rule = reduce(lambda a, b: a & b, (sum((col[i] for col in hits[1:]), hits[0][i]) > 0 for i in range(len(wanted))))
     for f, _ in fields:
         for h in _hits(f, barred):
             rule &= h == 0
     rank = sum((w * F.log1p(h.cast("double")) for (_, w), col in zip(fields, hits, strict=True) for h in col), F.lit(0.0))
-    pattern = rf"(?i)(?<![a-z0-9])({'|'.join(wanted)})(?![a-z0-9])"
-    at = F.greatest(F.lit(1), F.regexp_instr(F.coalesce(body, F.lit("")), F.lit(pattern)) - 80)
-    snippet = F.regexp_replace(F.substr(F.coalesce(body, F.lit("")), at, F.lit(240)), pattern, "<mark>$1</mark>")
-    return s.where(rule).select(key, F.round(rank, 6).alias("rank"), snippet.alias("snippet")).orderBy(F.desc("rank"), key).offset(offset).limit(k)
+    return s.where(rule).select(key, F.round(rank, 6).alias("rank"), snippet).orderBy(F.desc("rank"), key).offset(offset).limit(k)
 
 
 def chapter_sections(sections: DataFrame, chapter: str) -> DataFrame:

@@ -20,7 +20,7 @@ from statloom.operators import inventory as V
 from statloom.operators import layout as L
 from statloom.operators import pages as P
 from statloom.operators import search as S
-from statloom.runtime import table
+from statloom.runtime import scratch, table
 from statloom.sources import writers as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -741,10 +741,17 @@ def x5_spelling(spark: SparkSession, d: str) -> DataFrame:
 SELECT record_id, round(ln(1 + t1) + 0.4 * ln(1 + b1) + ln(1 + t2) + 0.4 * ln(1 + b2), 6) AS rank FROM n WHERE t1 + b1 > 0 AND t2 + b2 > 0 ORDER BY rank DESC, record_id LIMIT 20"""
 )
 def x1_search(spark: SparkSession, d: str) -> DataFrame:
-    return S.search(table(spark, d, "parsed"), "fire alarm", key="record_id").select("record_id", "rank")
+    """Ranked search by the inverted index, which is built first."""
+    p = table(spark, d, "parsed")
+    S.write_index(S.posting_rows(p, "record_id"), path := scratch(spark, "index"))
+    return S.search(p, "fire alarm", key="record_id", index=path).select("record_id", "rank")
 
 
-@query()
+@query(
+    r"""WITH w AS (SELECT record_id, coalesce(title, '') AS t, coalesce(bodyText, '') AS b, coalesce(array_to_string(list_transform(annotations, lambda a: a.text), ' '), '') AS n FROM parsed),
+c AS (SELECT record_id, b, len(regexp_extract_all(lower(t), '\bfire\s+alarm\b')) AS x, len(regexp_extract_all(lower(b), '\bfire\s+alarm\b')) AS y, len(regexp_extract_all(lower(n), '\bfire\s+alarm\b')) AS z, greatest(1, CASE WHEN regexp_matches(b, '(?i)\bfire\s+alarm\b') THEN length(regexp_extract(b, '(?is)^(.*?)\bfire\s+alarm\b', 1)) + 1 ELSE 0 END - 80) AS p FROM w WHERE NOT regexp_matches(lower(t || ' ' || b || ' ' || n), '\brepealed\b'))
+SELECT record_id, round(ln(1 + x) + 0.4 * ln(1 + y) + 0.4 * ln(1 + z), 6) AS rank, regexp_replace(substring(b, p, 240), '(?i)\b(fire\s+alarm)\b', '<mark>\1</mark>', 'g') AS snippet FROM c WHERE x + y + z > 0 ORDER BY rank DESC, record_id LIMIT 20"""
+)
 def x2_snippets(spark: SparkSession, d: str) -> DataFrame:
     return S.search(table(spark, d, "parsed"), '"fire alarm" -repealed', key="record_id", annotations="annotations")
 

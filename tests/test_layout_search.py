@@ -7,6 +7,7 @@ from statloom.operators import layout as L
 from statloom.operators import pages as P
 from statloom.operators import search as S
 
+from tests.conftest import rows
 from tests.test_citations import inventory
 
 OUTLINES = [
@@ -68,11 +69,18 @@ def test_spelling(spark):
     assert [tuple(r) for r in S.jumps(spark.createDataFrame([("431:10c-301",), ("1-2",), ("x",)], "query string"), pages).collect()] == [("431:10c-301", "431:10C-301", "/hrs/431-10C-301")]
 
 
-def test_search(spark):
+def test_search(spark, tmp_path):
     s = spark.createDataFrame([("a", "Fire alarm", "fire"), ("b", "x", "the fire alarm rang; alarm"), ("c", "alarm", "no"), ("d", None, None), ("e", "fire alarm", "repealed")], "sectionNumber string, title string, bodyText string")
     assert [r.sectionNumber for r in S.search(s, "fire alarm").collect()] == ["a", "e", "b"]
     assert [r.sectionNumber for r in S.search(s, '"fire alarm" -repealed').collect()] == ["a", "b"]
     assert S.search(s, "").count() == 0
+    path = str(tmp_path / "index")
+    S.write_index(S.posting_rows(s), path)
+    for q in ("fire alarm", '"fire alarm" -repealed', "rang fire", "fire fire", "fire -alarm", "nothing", "ALARM"):
+        assert rows(S.search(s, q, index=path)) == rows(S.search(s, q)), q
+    assert rows(S.search(s, "fire alarm", k=1, offset=1, index=path)) == rows(S.search(s, "fire alarm", k=1, offset=1))
+    plan = S.postings_of(spark, path, ["fire", "alarm"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [part" in plan and "In(term" in plan
     assert "<mark>fire</mark>" in S.search(s, "rang fire").first().snippet
 
 
