@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions.identity import natural_key
 from statloom.operators.citations import detect, range_members, resolve
 from statloom.operators.crossdoc import cross_targets, detect_cross
-from statloom.runtime import materialize
+from statloom.runtime import materialize, slots
 
 
 def text_blocks(sections: DataFrame) -> DataFrame:
@@ -53,6 +55,22 @@ def most_cited(edges: DataFrame, k: int = 20) -> DataFrame:
     return n.orderBy(F.desc("n"), natural_key(F.col("node")), "node").limit(k)
 
 
+def numbered(rows: DataFrame, group: str, order: Sequence[Column | str]) -> DataFrame:
+    """Adds ``at``, a row's place in its group's order from 0, where a group may hold a large share of all rows.
+
+    Rows are sorted by ranges of (group, order), so a hot group spreads over many tasks; each counts its own rows, and the counts of
+    the ranges before are added.
+    """
+    n = slots(rows.sparkSession)
+    keyed = rows.withColumns({f"__o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)})
+    by = [f"__o{i}" for i in range(len(order))]
+    placed = materialize(keyed.repartitionByRange(n, group, *by).withColumn("__range", F.spark_partition_id()), "ranges")
+    own = placed.withColumn("__nth", F.row_number().over(Window.partitionBy(group, "__range").orderBy(*by)))
+    counts = placed.groupBy(group, "__range").agg(F.count(F.lit(1)).alias("__rows"))
+    before = counts.withColumn("__before", F.coalesce(F.sum("__rows").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row per range
+    return own.join(before, [group, "__range"]).withColumn("at", F.col("__nth") - 1 + F.col("__before")).drop("__range", "__nth", "__rows", "__before", *by)
+
+
 def adjacency(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
     """(node, part, cites, citedBy): sorted lists by natural order, null where a side is empty; a sink's form.
 
@@ -60,9 +78,8 @@ def adjacency(edges: DataFrame, part_size: int = 10_000) -> DataFrame:
     """
 
     def side(own: str, other: str, name: str) -> DataFrame:
-        by = Window.partitionBy(own).orderBy(natural_key(F.col(other)), other, "block")
         e = F.struct("at", F.col(other).alias("n"), F.col("block"), F.col("kind"))
-        g = edges.withColumn("at", F.row_number().over(by) - 1).groupBy(F.col(own).alias("node"), F.floor(F.col("at") / part_size).alias("part")).agg(F.sort_array(F.collect_list(e)).alias("l"))
+        g = numbered(edges, own, [natural_key(F.col(other)), other, "block"]).groupBy(F.col(own).alias("node"), F.floor(F.col("at") / part_size).alias("part")).agg(F.sort_array(F.collect_list(e)).alias("l"))
         return g.select("node", "part", F.transform("l", lambda x: F.struct(x["n"].alias("from" if other == "from" else "to"), x["kind"].alias("kind"), x["block"].alias("block"))).alias(name))
 
     return side("from", "to", "cites").join(side("to", "from", "citedBy"), ["node", "part"], "full")

@@ -140,13 +140,20 @@ def linked(texts: DataFrame, resolved: DataFrame, keys: Sequence[str], text: str
     return t.select(*keys, html.alias("html"))
 
 
-def cited_by(edges: DataFrame, labels: DataFrame, over: int = 25) -> DataFrame:
-    """(node, list, n, folded, rows): what cites each node, with labels and titles in natural order.
+def cited_by(edges: DataFrame, labels: DataFrame, over: int = 25, part_size: int = 10_000) -> DataFrame:
+    """(node, list, part, n, folded, rows): what cites each node, with labels and titles in natural order.
 
-    labels: (number, label, title) of every node, the code's own first. Lists longer than ``over`` are marked to be folded.
+    labels: (number, label, title) of every node, the code's own first. Lists longer than ``over`` are marked to be folded; of lists
+    longer than ``part_size`` each row holds a part, numbered from 0, and n counts the whole.
     """
-    e = edges.join(labels.select(F.col("number").alias("__n"), "label", "title"), F.col("from") == F.col("__n"), "left")
-    row = F.struct(natural_key(F.col("from")).alias("k"), F.col("from").alias("number"), F.coalesce("label", "from").alias("label"), "title", (F.col("block") == "range").alias("in_range"))
+    from statloom.operators.graph import numbered
+
     kind = F.when(F.col("block") == "annotation", "Mentioned in annotations").otherwise("Cited by")
-    g = e.groupBy(F.col("to").alias("node"), kind.alias("list")).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(row)).alias("rows"))
-    return g.withColumn("folded", F.col("n") > over)
+    e = edges.select(F.col("to").alias("node"), kind.alias("list"), "from", (F.col("block") == "range").alias("in_range")).withColumn("__g", F.concat_ws("\n", "node", "list"))
+    e = numbered(e, "__g", [natural_key(F.col("from")), "from", "in_range"]).withColumn("part", F.floor(F.col("at") / part_size))
+    e = e.join(labels.select(F.col("number").alias("__n"), "label", "title"), F.col("from") == F.col("__n"), "left")
+    row = F.struct("at", F.col("from").alias("number"), F.coalesce("label", "from").alias("label"), "title", "in_range")
+    parts = e.groupBy("node", "list", "part").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    n = e.groupBy("node", "list").agg(F.count(F.lit(1)).alias("n"))
+    rows = F.transform("rows", lambda x: x.dropFields("at"))
+    return parts.join(n, ["node", "list"]).select("node", "list", "part", "n", (F.col("n") > over).alias("folded"), rows.alias("rows"))

@@ -52,12 +52,14 @@ def note_blocks(annotations: Column, weight: float = 0.4) -> Column:
 
 
 def _cited(rows: DataFrame) -> DataFrame:
-    """(node, html) of the lists of what cites each node; long ones folded."""
+    """(node, html) of the lists of what cites each node; long ones folded. A page is one text, so all parts of its lists come together here."""
     item = lambda r: _cat('<li><a href="', href("section", r["number"]), '">', _esc(r["label"]), "</a> ", _esc(r["title"]), F.when(r["in_range"], " (within a cited range)"), "</li>")
+    parts = rows.select("node", "list", "n", "folded", F.struct("part", F.array_join(F.transform("rows", item), "").alias("h")).alias("p"))
+    whole = parts.groupBy("node", "list", "n", "folded").agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda x: x["h"]), "").alias("items"))
     many = X.count_label(F.col("n"), "section", "sections")
-    body = _cat("<ul>", F.array_join(F.transform("rows", item), ""), "</ul>")
+    body = _cat("<ul>", F.col("items"), "</ul>")
     html = _cat("<h2>", F.col("list"), "</h2>\n", F.when(F.col("folded"), F.concat(F.lit("<details><summary>"), many, F.lit("</summary>"), body, F.lit("</details>"))).otherwise(F.concat(F.lit("<p>"), many, F.lit("</p>"), body)), "\n")
-    return rows.select("node", "list", html.alias("h")).groupBy("node").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("list", "h"))), lambda x: x["h"]), "").alias("cited_html"))
+    return whole.select("node", "list", html.alias("h")).groupBy("node").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("list", "h"))), lambda x: x["h"]), "").alias("cited_html"))
 
 
 def section_pages(sections: DataFrame, bodies: DataFrame, cited_by: DataFrame, chapters: DataFrame) -> DataFrame:

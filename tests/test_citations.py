@@ -1,6 +1,8 @@
+from pyspark.sql import functions as F
 from statloom.operators import citations as C
 from statloom.operators import crossdoc as D
 from statloom.operators import graph as G
+from statloom.operators import layout as L
 
 SECTIONS = ["26-34", "26-35", "11-1", "11-2", "11-5", "11-9", "431:1-100", "1-4.5", "634G-2"]
 CHAPTERS = ["26", "11", "91", "431", "1"]
@@ -123,3 +125,13 @@ def test_an_inventory_of_any_size(spark):
     t = spark.range(50_000).selectExpr("'org' AS doc_type", "cast(id AS string) AS key", "concat('o', id) AS number", "concat('o', id) AS label")
     b = spark.createDataFrame([(i, f"see Organic Act §{i * 999}.") for i in range(60)], "i int, text string")
     assert {(r.i, r.number) for r in D.detect_cross(b, ["i"], "text", t).collect()} == {(i, f"o{i * 999}") for i in range(51)}
+
+
+def test_a_node_that_very_many_cite(spark):
+    e = spark.range(3000).selectExpr("concat('§1-', id) AS `from`", "'§9-9' AS `to`", "'section' AS kind", "'body' AS block").unionByName(spark.createDataFrame([("§9-9", "§1-1", "section", "body")], "`from` string, `to` string, kind string, block string"))
+    at = [(r["from"], r.at) for r in G.numbered(e, "to", [F.length("from"), "from"]).where("to = '§9-9'").orderBy("at").collect()]
+    assert [a for _, a in at] == list(range(3000)) and [f for f, _ in at] == [f"§1-{i}" for i in range(3000)]
+    parts = {r.part: [x["from"] for x in r.citedBy] for r in G.adjacency(e, 1000).where("node = '§9-9' and citedBy is not null").collect()}
+    assert sorted(parts) == [0, 1, 2] and parts[0] + parts[1] + parts[2] == [f"§1-{i}" for i in range(3000)]
+    rows = L.cited_by(e, e.selectExpr("`from` AS number", "`from` AS label", "'' AS title"), 25, 1000).where("node = '§9-9'").orderBy("part").collect()
+    assert [(r.part, r.n, r.folded, len(r.rows)) for r in rows] == [(k, 3000, True, 1000) for k in range(3)] and rows[1].rows[0].number == "§1-1000"

@@ -18,12 +18,13 @@ def test_section_and_chapter_pages(spark):
     )
     chapters = spark.createDataFrame([("1", "One"), ("2", None)], "chapter string, title string")
     bodies = spark.createDataFrame([("§1-2", None, "<p>text</p>")], "number string, title_html string, body_html string")
-    cited = spark.createDataFrame([("§1-2", "Cited by", 2, True, [("k", "§1-10", "§1-10", "T <", True), ("l", "§9-1", "§9-1", None, False)])], "node string, list string, n long, folded boolean, rows array<struct<k:string,number:string,label:string,title:string,in_range:boolean>>")
+    cited = spark.createDataFrame([("§1-2", "Cited by", 1, 2, True, [("§9-1", "§9-1", None, False)]), ("§1-2", "Cited by", 0, 2, True, [("§1-10", "§1-10", "T <", True)])], "node string, list string, part long, n long, folded boolean, rows array<struct<number:string,label:string,title:string,in_range:boolean>>")
     got = {r.path: r.html for r in R.section_pages(s, bodies, cited, chapters).collect()}
     assert set(got) == {"/hrs/1-2", "/hrs/1-10", "/hrs/9-1"}
     a = got["/hrs/1-2"]
     for part in ("<h1>§1-20 A &amp; B</h1>", "heading supplied by the revisor", "the source reads §1-20, corrected to §1-2. Digits.", "<p>text</p>", '<p class="history">[L 1990, §1-1]</p>', "<p>two &lt;b&gt;</p>", "<details><summary>2 sections</summary>", "T &lt; (within a cited range)", 'rel="next" href="/hrs/1-10"', 'data-status="in force"', '<a href="https://x.org/a">a.htm</a>', '<a href="/hrs/chapter/1">Chapter 1 — One</a>'):
         assert part in a, part
+    assert a.index("§1-10</a> T") < a.index("§9-1</a>")
     assert 'rel="prev"' not in a and "covers §1-10 to §1-12 · repealed" in got["/hrs/1-10"] and "<footer>" not in got["/hrs/9-1"]
     pages = {r.path: r.html for r in R.chapter_pages(s, chapters).collect()}
     assert '<p class="part">PART I. START (supplied by the revisor)</p><ol>' in pages["/hrs/chapter/1"] and "2 sections" in pages["/hrs/chapter/1"] and "<ol>" not in pages["/hrs/chapter/2"]
@@ -45,14 +46,15 @@ def test_volume_title_tree_home(spark):
     assert j["divisions"] == [{"number": 1, "name": "GOVERNMENT"}] and j["titles"][0]["number"] == "6"
 
 
-def test_owned_and_partial_writes(spark, tmp_path):
+def test_pages_are_files_and_a_full_build_owns_its_folders(spark, tmp_path):
     p = lambda rows: spark.createDataFrame(rows, "path string, html string")
-    out = str(tmp_path / "site")
-    W.write_pages(p([("/hrs/1", "a"), ("/x/1", "b")]), out)
-    W.write_pages(p([("/hrs/2", "c")]), out, owned=False)
-    assert sorted(r.path for r in spark.read.parquet(out).collect()) == ["/hrs/2", "/x/1"]
-    W.write_pages(p([("/hrs/3", "d")]), out)
-    assert [r.path for r in spark.read.parquet(out).collect()] == ["/hrs/3"]
+    out = tmp_path / "site"
+    there = lambda: {str(f.relative_to(out)): f.read_text() for f in out.rglob("*") if f.is_file()}
+    assert {tuple(r) for r in W.write_pages(p([("/hrs/1", "ā"), ("/", "home"), ("/robots.txt", "x"), (None, "y"), ("/hrs/5", None)]), str(out)).collect()} == {("/hrs/1", 2), ("/", 4), ("/robots.txt", 1), ("/hrs/5", 0)}
+    W.write_pages(p([("/hrs/2", "c")]), f"file://{out}")
+    assert there() == {"hrs/1/index.html": "ā", "index.html": "home", "robots.txt": "x", "hrs/2/index.html": "c", "hrs/5/index.html": ""}
+    W.write_pages(p([("/hrs/3", "d")]), str(out), owned=["hrs", "none"])
+    assert there() == {"hrs/3/index.html": "d", "index.html": "home", "robots.txt": "x"}
 
 
 def test_migration_may_run_again(spark, tmp_path):

@@ -69,8 +69,14 @@ def test_texts(spark, tmp_path):
     v = spark.createDataFrame([("b",), ("a",)], "word string")
     W.write_words(v, str(tmp_path / "w"))
     assert [r.word for r in R.word_list(spark, str(tmp_path / "w")).collect()] == ["a", "b"]
-    xml = W.sitemap_text("https://x.org/", spark.createDataFrame([("/b&c",), ("/a",)], "path string")).first().xml
+    ((name, xml),) = W.sitemap_files("https://x.org/", spark.createDataFrame([("/b&c",), ("/a",), ("/a",), (None,)], "path string")).collect()
+    assert name == "sitemap.xml"
     assert xml == '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n  <url><loc>https://x.org/a</loc></url>\n  <url><loc>https://x.org/b&amp;c</loc></url>\n</urlset>\n'
+    many = {r.name: r.xml for r in W.sitemap_files("https://x.org", spark.range(1003).selectExpr("concat('/p', id) AS path"), most=100).collect()}
+    assert max(x.count("<url>") for x in many.values()) <= 100 and sum(x.count("<url>") for x in many.values()) == 1003
+    assert all(f"<loc>https://x.org/{n}</loc>" in many["sitemap.xml"] for n in many if n != "sitemap.xml") and many["sitemap.xml"].count("<sitemap>") == len(many) - 1 >= 11
+    none = W.sitemap_files("https://x.org", spark.range(0).selectExpr("cast(id AS string) AS path")).collect()
+    assert len(none) <= 1
     assert W.robots("https://x.org").endswith("\nSitemap: https://x.org/sitemap.xml\n") and "Sitemap" not in W.robots()
     (tmp_path / "logs" / "x.org").mkdir(parents=True)
     for day in ("2025-01-01", "2025-01-03"):
