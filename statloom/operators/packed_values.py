@@ -43,6 +43,9 @@ _ATOM = re.compile(
 _SIGN = re.compile(r"[,;|/&\[\]\t\n\r]|and")
 _DIGITS = re.compile(r"\d+")
 _BLANK = re.compile(r"\s+")
+#: Signs that part a shape's atoms and gaps; in an atom, which a shape has folded anyway, they are one other sign. A gap can't hold them.
+ATOM_END, GAP_BEGIN = "\x01", "\x02"
+_KEPT = {1: "\x03", 2: "\x03"}
 GAP_BUCKETS = 256
 END_BUCKETS = 1024
 #: Weight of the ends' part in theta, and what an unseen bucket counts.
@@ -78,15 +81,15 @@ class _Line:
             self.spans.append(m.span())
             self.gaps.append("")
             c = a[0]
-            self.folds.append(("Q" if anchor.search(a) else "q") if c in '"“' and len(a) > 1 else "()" if c == "(" else _DIGITS.sub("9", a))
+            self.folds.append(("Q" if anchor.search(a) else "q") if c in '"“' and len(a) > 1 else "()" if c == "(" else _DIGITS.sub("9", a).translate(_KEPT))
         if self.gaps:
             self.gaps[-1] = ""
         starts = {s: i for i, (s, _) in enumerate(self.spans)}
         self.anchors = sorted({i for i, f in enumerate(self.folds) if f == "Q"} | {starts[m.start()] for m in anchor.finditer(text) if m.start() in starts})
 
-    def shape(self) -> tuple[tuple[str, ...], tuple[str, ...], tuple[int, ...]]:
-        """Folds, gaps and anchors: equal for lines whose lattices are equal."""
-        return tuple(self.folds), tuple(self.gaps), tuple(self.anchors)
+    def shape(self) -> str:
+        """The line with its values folded: equal for lines whose lattices are equal."""
+        return ATOM_END.join(f + GAP_BEGIN + g for f, g in zip(self.folds, self.gaps, strict=True))
 
     def cuts(self) -> list[list[int]]:
         """For each pair of neighbouring anchors, the atoms after which a value may end.
@@ -108,8 +111,10 @@ def _kind(gap: str) -> str:
 class _Folded(_Line):
     """A line rebuilt from its shape."""
 
-    def __init__(self, folds: list[str], gaps: list[str], anchors: list[int]):
-        self.text, self.spans, self.folds, self.gaps, self.anchors = "", [], folds, gaps, anchors
+    def __init__(self, shape: str, anchor_at: list[int]):
+        parts = [p.split(GAP_BEGIN) for p in shape.split(ATOM_END)]
+        self.text, self.spans = "", []
+        self.folds, self.gaps, self.anchors = [p[0] for p in parts], [p[1] for p in parts], anchor_at
 
 
 def _prefix(line: _Line) -> list[str]:
@@ -352,28 +357,27 @@ def learn(df: DataFrame, col: str, how: Packing) -> Weights:
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n: Counter[tuple] = Counter()
+            n: Counter[tuple[str, tuple[int, ...]]] = Counter()
             for t in b.column(0).to_pylist():
                 line = _Line(t, anchor)
                 if line.folds and line.anchors:
-                    n[line.shape()] += 1
-            texts = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in n], texts), pa.array([s[1] for s in n], texts), pa.array([s[2] for s in n], pa.list_(pa.int32())), pa.array(n.values(), pa.int64())], ["folds", "gaps", "anchors", "n"])
+                    n[line.shape(), tuple(line.anchors)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in n], pa.string()), pa.array([list(a) for _, a in n], pa.list_(pa.int32())), pa.array(n.values(), pa.int64())], ["shape", "anchors", "n"])
 
-    seen = df.select(col).where(F.col(col).isNotNull()).mapInArrow(shapes, "folds array<string>, gaps array<string>, anchors array<int>, n long")
-    seen = seen.groupBy("folds", "gaps", "anchors").agg(F.sum("n").alias("n"))
-    seen = materialize(seen, "shapes")
+    seen = df.select(col).where(F.col(col).isNotNull()).mapInArrow(shapes, "shape string, anchors array<int>, n long")
+    seen = seen.groupBy("shape", "anchors").agg(F.sum("n").alias("n"))
+    # few bytes but much work in each round: dealt out over files, of which a task reads one or two
+    seen = materialize(seen.repartition(slots(df.sparkSession)), "shapes")
     size = buckets + 2 * END_BUCKETS + 2 * GAP_BUCKETS
     w = Weights.of(np.zeros(size), buckets)
     for k in range(how.rounds):
-        # few bytes but much work: read as one split, so dealt out again over all tasks
-        lines = (seen.where("size(anchors) = 1") if k == 0 else seen).repartition(slots(df.sparkSession))
+        lines = seen.where("size(anchors) = 1") if k == 0 else seen
 
         def expect(batches: Iterator[pa.RecordBatch], w: Weights = w) -> Iterator[pa.RecordBatch]:
             got: dict[int, float] = defaultdict(float)
             for b in batches:
-                for folds, gaps, a, n in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                    _expect(_Folded(folds, gaps, a), n, w, buckets, got)
+                for shape, a, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                    _expect(_Folded(shape, a), n, w, buckets, got)
             yield pa.RecordBatch.from_arrays([pa.array(got.keys(), pa.int32()), pa.array(got.values(), pa.float64())], ["k", "c"])
 
         counts = np.zeros(size)
