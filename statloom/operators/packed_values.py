@@ -15,6 +15,10 @@ buckets, so that the parameters sent to the tasks have a size that doesn't grow
 
 Where the caller gives an ``anchor`` pattern, every value holds exactly one anchor (as a law
 citation does). Without anchors in a line the line is one value.
+
+Without such a pattern how many values a line holds is learned too. A value then has its shape's frequency, mixed with a base probability that is the
+product of its atoms' own (so longer values are less probable), and the odds of each kind of gap decide with it. A separator within
+values is told from one between them by what stands around it going together throughout the column.
 """
 
 from __future__ import annotations
@@ -58,9 +62,9 @@ DENSE = 64 * 64
 
 @dataclass(frozen=True)
 class Packing:
-    """anchor: pattern of which each value holds one match. buckets: size of the shape table."""
+    """anchor: pattern of which each value holds one match; None if there is no such sign. buckets: size of the shape table."""
 
-    anchor: str
+    anchor: str | None = None
     buckets: int = 1 << 14
     rounds: int = 4
 
@@ -70,7 +74,7 @@ class _Line:
 
     __slots__ = ("text", "spans", "folds", "anchors", "gaps")
 
-    def __init__(self, text: str, anchor: re.Pattern[str]):
+    def __init__(self, text: str, anchor: re.Pattern[str] | None):
         self.text, self.spans, self.folds, self.gaps = text, [], [], []
         for m in _ATOM.finditer(text):
             if m.lastgroup == "gap":
@@ -81,11 +85,11 @@ class _Line:
             self.spans.append(m.span())
             self.gaps.append("")
             c = a[0]
-            self.folds.append(("Q" if anchor.search(a) else "q") if c in '"“' and len(a) > 1 else "()" if c == "(" else _DIGITS.sub("9", a).translate(_KEPT))
+            self.folds.append(("Q" if anchor and anchor.search(a) else "q") if c in '"“' and len(a) > 1 else "()" if c == "(" else _DIGITS.sub("9", a).translate(_KEPT))
         if self.gaps:
             self.gaps[-1] = ""
         starts = {s: i for i, (s, _) in enumerate(self.spans)}
-        self.anchors = sorted({i for i, f in enumerate(self.folds) if f == "Q"} | {starts[m.start()] for m in anchor.finditer(text) if m.start() in starts})
+        self.anchors = sorted({i for i, f in enumerate(self.folds) if f == "Q"} | {starts[m.start()] for m in anchor.finditer(text) if m.start() in starts}) if anchor else []
 
     def shape(self) -> str:
         """The line with its values folded: equal for lines whose lattices are equal."""
@@ -135,10 +139,13 @@ class Weights:
     gap: list[float]
 
     @classmethod
-    def of(cls, counts: np.ndarray, buckets: int) -> "Weights":
+    def of(cls, counts: np.ndarray, buckets: int, free: bool = False) -> "Weights":
         at = np.cumsum([buckets, END_BUCKETS, END_BUCKETS, GAP_BUCKETS])
         *values, cut, seen = np.split(counts, at)
         odds = (cut + GAP_PRIOR) / (np.maximum(seen - cut, 0) + GAP_PRIOR)
+        if free:  # a shape counts as often as it was seen elsewhere: no line can vouch for itself
+            again = np.maximum(values[0] - 1, 0)
+            return cls((again / (again.sum() + BASE_WEIGHT)).tolist(), ((values[1] + UNSEEN) / (values[1] + UNSEEN).sum()).tolist(), [], odds.tolist())
         return cls(*(((p + UNSEEN) / (p + UNSEEN).sum()).tolist() for p in values), odds.tolist())
 
 
@@ -338,6 +345,89 @@ def _best(line: _Line, w: Weights, buckets: int) -> list[tuple[int, int]]:
     return list(zip([0, *(x + 1 for x in ends[:-1])], ends, strict=True))
 
 
+# --- lines of which no sign tells how many values they hold ---------------------------------------
+
+#: Probability that a value ends after an atom, and the weight of the base probability against the shapes seen.
+STOP, BASE_WEIGHT = 0.5, 1.0
+
+
+class _Free:
+    """All segmentations of a line: arcs from the start of a value to its possible ends.
+
+    An arc's weight is the value's probability, times the odds of the gap after it. A value grows until its base probability is zero in
+    floating point: with a separator within and no base, no round can ever have counted it.
+    """
+
+    def __init__(self, line: _Line, w: Weights, buckets: int):
+        self.line, last = line, len(line.folds) - 1
+        self.ends = [i for i in range(last) if _SIGN.search(line.gaps[i])] + [last]
+        pre = _prefix(line)
+        self.atoms = [_hash(f, END_BUCKETS) for f in line.folds]
+        self.gaps = [_hash(_kind(line.gaps[e]), GAP_BUCKETS) for e in self.ends]
+        odds = [w.gap[g] for g in self.gaps[:-1]] + [1.0]
+        begins = [0, *(e + 1 for e in self.ends[:-1])]
+        self.arcs: list[list[tuple[int, float, int]]] = []
+        for k, b in enumerate(begins):
+            out, crc, base, i = [], 0, STOP, b
+            for j in range(k, len(self.ends)):
+                e = self.ends[j]
+                while i <= e:
+                    base *= w.first[self.atoms[i]] * ((1 - STOP) if i > b else 1.0)
+                    if i < e:
+                        crc = zlib.crc32(pre[i].encode("utf-8", "surrogatepass"), crc)
+                    i += 1
+                v = zlib.crc32(line.folds[e].encode("utf-8", "surrogatepass"), crc) % buckets
+                if j > k and base == 0.0:
+                    break
+                out.append((j, (w.shape[v] + BASE_WEIGHT * base + 1e-300) * odds[j], v))
+                crc = zlib.crc32(pre[e].encode("utf-8", "surrogatepass"), crc)
+            self.arcs.append(out)
+
+
+def _expect_free(line: _Line, w: Weights, buckets: int, into: dict[int, float]) -> None:
+    """Forward-backward over all segmentations, in logs; adds the expected counts of shapes, cuts and gaps seen, and the atoms. Equal lines count once."""
+    f, atom_at, gap_at = _Free(line, w, buckets), buckets, buckets + 2 * END_BUCKETS
+    for a in f.atoms:
+        into[atom_at + a] += 1.0
+    for g in f.gaps[:-1]:
+        into[gap_at + GAP_BUCKETS + g] += 1.0
+    m = len(f.ends)
+    lf = [-np.inf] * (m + 1)
+    lf[0] = 0.0
+    for k in range(m):
+        for j, x, _ in f.arcs[k]:
+            lf[j + 1] = np.logaddexp(lf[j + 1], lf[k] + np.log(x))
+    lb = [-np.inf] * (m + 1)
+    lb[m] = 0.0
+    for k in range(m - 1, -1, -1):
+        for j, x, v in f.arcs[k]:
+            lb[k] = np.logaddexp(lb[k], np.log(x) + lb[j + 1])
+    for k in range(m):
+        for j, x, v in f.arcs[k]:
+            c = float(np.exp(lf[k] + np.log(x) + lb[j + 1] - lf[m]))
+            if c:
+                into[v] += c
+                if j < m - 1:
+                    into[gap_at + f.gaps[j]] += c
+
+
+def _best_free(line: _Line, w: Weights, buckets: int) -> list[tuple[int, int]]:
+    """Viterbi over all segmentations; of equal ones the longest first values."""
+    f = _Free(line, w, buckets)
+    m = len(f.ends)
+    best, to = [-np.inf] * m + [0.0], [0] * m
+    for k in range(m - 1, -1, -1):
+        for j, x, _ in f.arcs[k]:
+            s = float(np.log(x)) + best[j + 1]
+            if s >= best[k]:
+                best[k], to[k] = s, j
+    out, k = [], 0
+    while k < m:
+        out.append((0 if k == 0 else f.ends[k - 1] + 1, f.ends[to[k]]))
+        k = to[k] + 1
+    return out
+
+
 def entry_text(line: _Line, i: int, j: int) -> str:
     """A value's text: outer quotes gone if they hold all of it, doubled quotes single, blanks single."""
     t = line.text[line.spans[i][0] : line.spans[j][1]]
@@ -349,18 +439,19 @@ def entry_text(line: _Line, i: int, j: int) -> str:
 def learn(df: DataFrame, col: str, how: Packing) -> Weights:
     """Expectation-maximisation over the whole column.
 
-    Lines with equal lattices are counted together first. The first round looks at lines of one value alone, where there is
-    nothing to guess; the rest start from what it saw. Each round is one job whose result
+    Lines with equal lattices are counted together first. The first round looks at lines of one value alone (of one anchor, or without separators), where
+    there is nothing to guess; the rest start from what it saw. Each round is one job whose result
     has at most one row per bucket.
     """
-    anchor, buckets = re.compile(how.anchor), how.buckets
+    anchor, buckets = re.compile(how.anchor) if how.anchor else None, how.buckets
+    free = anchor is None
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n: Counter[tuple[str, tuple[int, ...]]] = Counter()
             for t in b.column(0).to_pylist():
                 line = _Line(t, anchor)
-                if line.folds and line.anchors:
+                if line.folds and (free or line.anchors):
                     n[line.shape(), tuple(line.anchors)] += 1
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in n], pa.string()), pa.array([list(a) for _, a in n], pa.list_(pa.int32())), pa.array(n.values(), pa.int64())], ["shape", "anchors", "n"])
 
@@ -369,22 +460,27 @@ def learn(df: DataFrame, col: str, how: Packing) -> Weights:
     # few bytes but much work in each round: dealt out over files, of which a task reads one or two
     seen = materialize(seen.repartition(slots(df.sparkSession)), "shapes")
     size = buckets + 2 * END_BUCKETS + 2 * GAP_BUCKETS
-    w = Weights.of(np.zeros(size), buckets)
+    w = Weights.of(np.zeros(size), buckets, free)
     for k in range(how.rounds):
-        lines = seen.where("size(anchors) = 1") if k == 0 else seen
+        alone = ~F.col("shape").rlike(f"{GAP_BEGIN}[^{ATOM_END}]*(?:[,;|/&\\[\\]\\t\\n\\r]|and)") if free else F.size("anchors") == 1
+        lines = seen.where(alone) if k == 0 else seen
 
         def expect(batches: Iterator[pa.RecordBatch], w: Weights = w) -> Iterator[pa.RecordBatch]:
             got: dict[int, float] = defaultdict(float)
             for b in batches:
                 for shape, a, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                    _expect(_Folded(shape, a), n, w, buckets, got)
+                    line = _Folded(shape, a)
+                    if free:
+                        _expect_free(line, w, buckets, got)
+                    else:
+                        _expect(line, n, w, buckets, got)
             yield pa.RecordBatch.from_arrays([pa.array(got.keys(), pa.int32()), pa.array(got.values(), pa.float64())], ["k", "c"])
 
         counts = np.zeros(size)
         for at, c in lines.mapInArrow(expect, "k int, c double").groupBy("k").agg(F.sum("c")).collect():
             counts[at] = c
         if counts.any():
-            w = Weights.of(counts, buckets)
+            w = Weights.of(counts, buckets, free)
     release(seen)
     return w
 
@@ -392,13 +488,14 @@ def learn(df: DataFrame, col: str, how: Packing) -> Weights:
 def split_packed(df: DataFrame, key: str, col: str, how: Packing) -> DataFrame:
     """One row (key, pos, entry) per value of ``col``; pos counts from 1 in the order of the line.
 
-    Null, empty and blank fields, and fields of separators only, give no row. A field without
-    any anchor gives one row with its whole text. Equal values of a line all come out, each
+    Null, empty and blank fields, and fields of separators only, give no row. Where there are anchors, a field without
+    any gives one row with its whole text. Equal values of a line all come out, each
     with its own position. An unbalanced quote or bracket is an ordinary sign. Other columns,
     whatever their names, don't matter.
     """
     w = learn(df, col, how)
-    anchor, buckets = re.compile(how.anchor), how.buckets
+    anchor, buckets = re.compile(how.anchor) if how.anchor else None, how.buckets
+    best = _best if anchor else _best_free
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -409,7 +506,7 @@ def split_packed(df: DataFrame, key: str, col: str, how: Packing) -> DataFrame:
                 line = _Line(t, anchor)
                 if not line.folds:
                     continue
-                texts = [x for x in (entry_text(line, i, j) for i, j in _best(line, w, buckets)) if x]
+                texts = [x for x in (entry_text(line, i, j) for i, j in best(line, w, buckets)) if x]
                 at += [r] * len(texts)
                 pos += range(1, len(texts) + 1)
                 out += texts

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -78,3 +79,35 @@ def test_lines_that_are_mostly_separators(spark):
     df = spark.createDataFrame([(1, line), (2, "L 1990, c 1; am L 1991, c 2"), (3, "," * 20000)], "record_id long, history string")
     got = [tuple(r) for r in enactment_clauses(df).collect()]
     assert sorted((k, p) for k, p, _ in got) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
+
+
+def test_colours_without_anchors(spark):
+    rng = random.Random(4)
+    colours = ["red", "green", "teal", "dark blue", "light green", "off-white", "black and white"]
+    lines = [("red",), ("dark blue",), ("off-white",), ("teal",)] * 3
+    want = [[c] for (c,) in lines]
+    for _ in range(150):
+        own = [rng.choice(colours) for _ in range(rng.randint(1, 5))]
+        want.append(own)
+        lines.append((rng.choice(["; ", " / ", ", ", " | "]).join(own),))
+    lines += [('red; green / "blue, dark" | teal',), ("black and white; red",), (None,), (" ; ",), ("red; red",)]
+    want += [["red", "green", "blue, dark", "teal"], ["black and white", "red"], [], [], ["red", "red"]]
+    df = spark.createDataFrame([(i, t) for i, (t,) in enumerate(lines)], "id long, colours string")
+    got = {}
+    for k, pos, e in sorted(tuple(r) for r in split_packed(df, "id", "colours", Packing()).collect()):
+        got.setdefault(k, []).append(e)
+    wrong = [(w, got.get(i, [])) for i, w in enumerate(want) if got.get(i, []) != w]
+    assert len(wrong) <= 2, wrong
+    assert all(got.get(i, []) == want[i] for i in range(len(want) - 5, len(want)))
+
+
+def test_names_that_hold_a_separator(spark):
+    rng = random.Random(5)
+    names = [f"{a}, {b}" for a, b in zip("Smith Doe Kealoha Ng Ito Silva Kim Akana Lopez Wong".split(), "Ann Bob Lei Kai Mele Noa Ian Joy Ken Lani".split(), strict=True)]
+    want = [[rng.choice(names) for _ in range(rng.choice([1, 1, 2, 3, 4]))] for _ in range(200)]
+    df = spark.createDataFrame([(i, "; ".join(w)) for i, w in enumerate(want)], "id long, names string")
+    got = {}
+    for k, pos, e in sorted(tuple(r) for r in split_packed(df, "id", "names", Packing()).collect()):
+        got.setdefault(k, []).append(e)
+    wrong = [(w, got.get(i)) for i, w in enumerate(want) if got.get(i) != w]
+    assert not wrong, wrong[:3]
