@@ -84,21 +84,18 @@ def p7_by_capacity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_checked(spark: SparkSession, d: str) -> DataFrame:
-    """What must hold of the packing by tiers, in one row: documents and those without a place, pieces, windows that are too full, places that overlap, documents split though some window could hold them, split documents with a piece missing."""
-    docs = table(spark, d, "documents")
+    """What must hold of each document in the packing by tiers: whole (all of its tokens have one place), split only if no window could hold it, in no window that is too full, and over no other's place."""
+    docs, caps = table(spark, d, "documents"), _capacities(spark, d)
     sizes = measured(docs, f"{TOKENIZERS}/{VOCABULARY}", SPLIT)
-    caps = _capacities(spark, d)
     w = materialize(pack_windows(sizes, caps), "windows")
-    per = w.groupBy("capacity", "window_no").agg((F.sum("n_tokens") > F.first("capacity")).alias("full"))
-    by = Window.partitionBy("capacity", "window_no").orderBy("start", "n_tokens")
-    over = w.where("n_tokens > 0").withColumn("next", F.lead("start").over(by)).agg(F.count_if((F.col("next") < F.col("start") + F.col("n_tokens")) | (F.col("start") + F.col("n_tokens") > F.col("capacity"))).alias("overlaps"))
-    own = w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece").alias("kinds"), F.sum("n_tokens").alias("placed"))
-    each = docs.select("doc_id").join(sizes, "doc_id").join(own, "doc_id", "left").agg(
-        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("pieces").isNull()).alias("without_place"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= max(caps))).alias("split_in_vain"), F.count_if((F.col("placed") != F.col("n_tokens")) | (F.col("pieces") != F.col("kinds"))).alias("not_whole")
-    )
-    full = per.agg(F.count_if("full").alias("too_full"))
-    rows = each.unionByName(full, allowMissingColumns=True).unionByName(over, allowMissingColumns=True)  # one row each
-    return rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in rows.columns))
+    own = Window.partitionBy("capacity", "window_no")  # a window's pieces, each of one token at least
+    end = F.col("start") + F.col("n_tokens")
+    held = w.where("n_tokens > 0").withColumns({"full": F.sum("n_tokens").over(own) > F.col("capacity"), "over": (F.coalesce(F.lead("start").over(own.orderBy("start", "n_tokens")), F.col("capacity")) < end)})
+    held = held.select("doc_id", "piece", "n_tokens", "full", "over").unionByName(w.where("n_tokens = 0").select("doc_id", "piece", "n_tokens", F.lit(False).alias("full"), F.lit(False).alias("over")))
+    per = held.groupBy("doc_id").agg(F.sum("n_tokens").alias("placed"), F.count(F.lit(1)).alias("pieces"), F.count_distinct("piece").alias("kinds"), F.bool_or("full").alias("too_full"), F.bool_or("over").alias("overlaps"))
+    r = docs.select("doc_id").join(sizes, "doc_id").join(per, "doc_id", "left")
+    whole = F.coalesce((F.col("placed") == F.col("n_tokens")) & (F.col("pieces") == F.col("kinds")), F.lit(False))
+    return r.select("doc_id", whole.alias("whole"), F.coalesce((F.col("pieces") > 1) & (F.col("n_tokens") <= max(caps)), F.lit(False)).alias("split_in_vain"), F.coalesce("too_full", F.lit(True)).alias("too_full"), F.coalesce("overlaps", F.lit(True)).alias("overlaps"))
 
 
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -138,7 +135,7 @@ n AS (SELECT record_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT a.record_
 f AS (SELECT a AS record_id_a, b AS record_id_b FROM p JOIN n x ON x.record_id = a JOIN n y ON y.record_id = b WHERE m >= 0.7 * (x.n + y.n - m))"""
 _GRAMS = "s AS (SELECT doc_id, k, hash(text[k:k + 399]) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 398)) AS k FROM documents WHERE length(text) >= 400)), m AS (SELECT h FROM s GROUP BY h HAVING count(DISTINCT doc_id) > 1), t AS (SELECT s.* FROM s JOIN m USING (h))"
 SQL: dict[str, str] = {
-    "p7_checked": "SELECT count(*) AS documents, 0::BIGINT AS without_place, 0::BIGINT AS split_in_vain, 0::BIGINT AS not_whole, 0::BIGINT AS too_full, 0::BIGINT AS overlaps FROM documents",
+    "p7_checked": "SELECT doc_id, true AS whole, false AS split_in_vain, false AS too_full, false AS overlaps FROM documents",
     "p2_frames": "SELECT record_id, 0::BIGINT AS frame_lines, true AS same FROM parsed WHERE bodyHtml IS NOT NULL",
     "p5_found": f"WITH {_RECORDS} SELECT * FROM f",
     "p5_groups": f"""WITH RECURSIVE {_RECORDS}, c AS (SELECT record_id, CASE WHEN len(w) >= 40 THEN min(record_id) OVER (PARTITION BY w) ELSE record_id END AS class_id, CASE WHEN len(w) >= 40 THEN count(*) OVER (PARTITION BY w) ELSE 1 END AS copies FROM w),
