@@ -18,11 +18,13 @@ import re
 import sys
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 from html import unescape
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,15 +196,15 @@ class Alignment:
     """Places of a wrapper beside the nodes of a page, or of another wrapper.
 
     Texts that stand once on either side, under elements of the same forms, are anchors, and so are the elements around them. What lies between two
-    anchors is aligned by simple tree matching. Beyond ``widest`` cells no table of these is made: there, where no text
-    agrees, the first of a form is matched with the first, the second with the second, as far as the order allows.
+    anchors is aligned by simple tree matching, whatever its size. Subtrees of which no text agrees weigh by their shapes alone, once for each
+    two shapes; only those that share a text are compared one by one.
     """
 
-    widest = 1 << 16
-
     def __init__(self, slots: list[Slot], nodes: list):
-        self.memo: dict[tuple[int, int], float] = {}
+        self.roots = slots, nodes
+        self.memo: dict[tuple[int, int], int] = {}
         self.hint: dict[int, Slot | Node] = {}
+        self.shapes: _Shapes | None = None
         own, there = self._texts(slots), self._texts(nodes)
         for mark, chain in own.items():
             if chain and there.get(mark):
@@ -236,28 +238,28 @@ class Alignment:
             for s, n in pairs:
                 self.hint[id(s)] = n
 
-    def _alike(self, s: Slot, n: Slot | Node) -> float:
+    def _alike(self, s: Slot, n: Slot | Node) -> int:
         """Nodes matched by the best alignment of two subtrees, a place with its own text counting for three."""
         if s.tag != n.tag or s.cls != n.cls:
-            return 0.0
+            return 0
         if s.mark:
-            return 3.0 if n.mark == s.mark else 1.0
+            return 3 if n.mark == s.mark else 1
         key = (id(s), id(n))
         got = self.memo.get(key)
         if got is None:
-            got = 1.0
+            got = 1
             for _, _, w in self.pairs(s.children, _below(n)):
                 got += w
             self.memo[key] = got
         return got
 
-    def pairs(self, slots: list[Slot], nodes: list) -> list[tuple[int, int, float]]:
+    def pairs(self, slots: list[Slot], nodes: list) -> list[tuple[int, int, int]]:
         """(slot, node, weight) in order, from lists whose parents are matched."""
         if not slots or not nodes:
             return []
         at = {id(n): j for j, n in enumerate(nodes)} if self.hint else {}
         sure = [(i, j) for i, s in enumerate(slots) if (j := at.get(id(self.hint.get(id(s))))) is not None]
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int]] = []
         a = b = 0
         for i, j in [*_chain(sure), (len(slots), len(nodes))]:
             if a < i and b < j:
@@ -267,37 +269,150 @@ class Alignment:
             a, b = i + 1, j + 1
         return out
 
-    def _between(self, slots: list[Slot], a: int, i: int, nodes: list, b: int, j: int) -> list[tuple[int, int, float]]:
+    def _between(self, slots: list[Slot], a: int, i: int, nodes: list, b: int, j: int) -> list[tuple[int, int, int]]:
         forms = {(s.tag, s.cls) for s in slots[a:i]}
         there = [k for k in range(b, j) if (nodes[k].tag, nodes[k].cls) in forms]
-        m, n = i - a, len(there)
-        if m * n > self.widest:
-            of: dict[tuple[str, str], list[int]] = defaultdict(list)
-            for k in reversed(there):
-                of[nodes[k].tag, nodes[k].cls].append(k)
-            nth = []
-            for x in range(a, i):
-                own = of[slots[x].tag, slots[x].cls]
-                if own:
-                    nth.append((x, own.pop()))
-            return [(x, k, self._alike(slots[x], nodes[k])) for x, k in _chain(nth)]
-        gain = [[self._alike(s, nodes[k]) for k in there] for s in slots[a:i]]
-        best = [[0.0] * (n + 1) for _ in range(m + 1)]
-        for x in range(m - 1, -1, -1):
-            row, low, g = best[x], best[x + 1], gain[x]
-            for y in range(n - 1, -1, -1):
-                w = low[y] if low[y] >= row[y + 1] else row[y + 1]
-                row[y] = low[y + 1] + g[y] if g[y] and low[y + 1] + g[y] >= w else w
-        out, x, y = [], 0, 0
-        while x < m and y < n:
-            if gain[x][y] and best[x][y] == best[x + 1][y + 1] + gain[x][y]:
-                out.append((a + x, there[y], gain[x][y]))
-                x, y = x + 1, y + 1
-            elif best[x][y] == best[x][y + 1]:
+        if not there:
+            return []
+        if self.shapes is None:
+            self.shapes = _Shapes(*self.roots)
+        own, beside = slots[a:i], [nodes[k] for k in there]
+        plain = self.shapes.gains([self.shapes.own[id(s)] for s in own], [self.shapes.there[id(n)] for n in beside])
+        shared: dict[int, tuple[list[int], list[int]]] = defaultdict(lambda: ([], []))
+        for x, y in self.shapes.sharing(own, beside):
+            shared[x][0].append(y)
+            shared[x][1].append(self._alike(own[x], beside[y]))
+
+        def gain(x: int) -> np.ndarray:
+            g = plain(x)
+            if x in shared:
+                g[shared[x][0]] = shared[x][1]
+            return g
+
+        return [(a + x, there[y], w) for x, y, w in _matched(gain, len(own), len(beside))]
+
+
+class _Shapes:
+    """Both sides of an alignment without their texts, and where the texts are that stand on both.
+
+    A shape is a number: of the form of a place that is a text, or of the form and the shapes below. Nodes are numbered from the root down, so
+    that what is within a node has the numbers of one range.
+    """
+
+    def __init__(self, slots: list[Slot], nodes: list):
+        self.known: dict[tuple, int] = {}
+        self.parts: list[tuple] = []
+        self.weight: dict[tuple[int, int], int] = {}
+        self.own, self.own_span, marks = self._read(slots, True)
+        self.there, self.span, texts = self._read(nodes, False)
+        self.places: dict[int, list[int]] = defaultdict(list)
+        for at, mark in marks:
+            self.places[mark].append(at)
+        both = [(at, mark) for at, mark in texts if mark in self.places]
+        self.at, self.mark = [at for at, _ in both], [mark for _, mark in both]
+
+    def _read(self, roots: list, places: bool) -> tuple[dict[int, int], dict[int, tuple[int, int]], list[tuple[int, int]]]:
+        """Shapes, ranges of numbers, and (number, mark) of all texts."""
+        order, stack = [], list(reversed(roots))
+        while stack:
+            n = stack.pop()
+            order.append(n)
+            stack.extend(reversed(_below(n)))
+        shape: dict[int, int] = {}
+        span: dict[int, tuple[int, int]] = {}
+        for at in range(len(order) - 1, -1, -1):
+            n = order[at]
+            below = _below(n)
+            key = (n.tag, n.cls, None if places and n.mark else tuple([shape[id(c)] for c in below]))
+            shape[id(n)] = self.known.setdefault(key, len(self.known))
+            if len(self.parts) < len(self.known):
+                self.parts.append(key)
+            span[id(n)] = at, span[id(below[-1])][1] if below else at + 1
+        return shape, span, [(at, n.mark) for at, n in enumerate(order) if n.mark]
+
+    def sharing(self, slots: list[Slot], nodes: list) -> list[tuple[int, int]]:
+        """Which of these places and nodes have a text in common, somewhere within."""
+        begins = [self.own_span[id(s)][0] for s in slots]
+        out: set[tuple[int, int]] = set()
+        for y, n in enumerate(nodes):
+            first, end = self.span[id(n)]
+            for k in range(bisect_left(self.at, first), bisect_left(self.at, end)):
+                for place in self.places[self.mark[k]]:
+                    x = bisect_right(begins, place) - 1
+                    if x >= 0 and place < self.own_span[id(slots[x])][1]:
+                        out.add((x, y))
+        return sorted(out)
+
+    def gains(self, own: list[int], there: list[int]) -> Callable[[int], np.ndarray]:
+        """For each of the first its weights beside all of the second."""
+        kinds: dict[int, int] = {}
+        of = np.array([kinds.setdefault(t, len(kinds)) for t in there])
+        rows: dict[int, np.ndarray] = {}
+
+        def gain(x: int) -> np.ndarray:
+            s = own[x]
+            if s not in rows:
+                rows[s] = np.array([self._alike(s, t) for t in kinds], np.int32)
+            return rows[s].take(of)
+
+        return gain
+
+    def _alike(self, own: int, there: int) -> int:
+        """Nodes matched by the best alignment of two shapes."""
+        (tag, cls, slots), (tag_, cls_, nodes) = self.parts[own], self.parts[there]
+        if tag != tag_ or cls != cls_:
+            return 0
+        if not slots or not nodes:
+            return 1
+        got = self.weight.get((own, there))
+        if got is None:
+            gain, row = self.gains(slots, nodes), np.zeros(len(nodes) + 1, np.int32)
+            for x in range(len(slots) - 1, -1, -1):
+                row = _row(row, gain(x))
+            got = self.weight[own, there] = 1 + int(row[0])
+        return got
+
+
+def _row(low: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Greatest weights from each node on, with one place more than in ``low``."""
+    row = np.zeros_like(low)
+    np.maximum.accumulate(np.maximum(low[:-1], low[1:] + gain)[::-1], out=row[-2::-1])
+    return row
+
+
+def _matched(gain: Callable[[int], np.ndarray], m: int, n: int) -> list[tuple[int, int, int]]:
+    """(place, node, weight) of the order-preserving matching of the greatest weight; of equal ones that which matches first.
+
+    Of the table's m rows one in each sqrt(m) is kept, those between are made again when the way goes through them.
+    """
+    step = isqrt(m) + 1
+    kept, row = {}, np.zeros(n + 1, np.int32)
+    for x in range(m - 1, -1, -1):
+        if x == m - 1 or (x + 1) % step == 0:
+            kept[x + 1] = row
+        if x >= step:
+            row = _row(row, gain(x))
+    out, y = [], 0
+    for first in range(0, m, step):
+        if y == n:
+            break
+        end, begin = min(first + step, m), y
+        rows, gains = [kept.pop(end)[begin:]], []
+        for x in range(end - 1, first - 1, -1):
+            gains.append(gain(x)[begin:])
+            rows.append(_row(rows[-1], gains[-1]))
+        for x in range(first, end):
+            now, low, g = rows.pop(), rows[-1], gains.pop()
+            while y < n and now[y - begin]:
+                k = y - begin
+                if g[k] and now[k] == low[k + 1] + g[k]:
+                    out.append((x, y, int(g[k])))
+                    y += 1
+                    break
+                if now[k] != now[k + 1]:
+                    break
                 y += 1
-            else:
-                x += 1
-        return out
+    return out
 
 
 def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:

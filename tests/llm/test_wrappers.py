@@ -121,3 +121,44 @@ def test_alignment_has_the_greatest_weight(left, right):
     pairs = Alignment(w.slots, units(b)).pairs(w.slots, units(b))
     assert sum(x for _, _, x in pairs) == brute(w.slots, units(b))
     assert [p[:2] for p in pairs] == sorted(p[:2] for p in pairs)
+
+
+@pytest.mark.parametrize("n", [40, 400])
+@pytest.mark.parametrize("sent", [200, 0])
+def test_a_page_that_says_all_twice_loses_it_once_whatever_its_size(spark, monkeypatch, n, sent):
+    from statloom.llm import wrappers as W
+
+    monkeypatch.setattr(W, "SENT_HOSTS", sent)
+    notes = [f"<p>Notice {i}.</p>" for i in range(n)]
+    own = lambda k: f"Text {k} of its own, {'long ' * 300}end."
+    pages = [f"{''.join(x * (2 if k == 7 else 1) for x in notes)}<div>{own(k)}</div>" for k in range(60)]
+    got = clean_texts(spark, pages)
+    assert got.pop(7) == "\n\n".join(f"Notice {i}." for i in range(n)) + "\n\n" + own(7)
+    assert got == {k: own(k) for k in range(60) if k != 7}
+
+
+def whole_table(slots, nodes):
+    """Weight of the best order-preserving matching, by the table of all pairs."""
+    low = [0] * (len(nodes) + 1)
+    for s in reversed(slots):
+        row = [0] * (len(nodes) + 1)
+        for y in range(len(nodes) - 1, -1, -1):
+            n, own = nodes[y], 0
+            if (s.tag, s.cls) == (n.tag, n.cls):
+                own = (3 if s.mark == n.mark else 1) if s.mark else 1 + whole_table(s.children, units(n))
+            row[y] = max(low[y], row[y + 1], low[y + 1] + own if own else 0)
+        low = row
+    return low[0]
+
+
+@pytest.mark.parametrize("n", [30, 270])
+def test_alignment_has_the_greatest_weight_whatever_its_size(n):
+    left = "".join(f"<li><i>n{i}</i><p>Name {i}</p></li>" if i % 3 else f"<p>Name {i}</p>" for i in range(n))
+    right = "".join(f"<li><p>Name {i}</p><p>Name {i + 1}</p></li><p>Name {i}</p>" for i in range(n))
+    a, b = parse_html(left), parse_html(right)
+    w = Wrapper()
+    w.learn(a, {x.mark: 5 for x in marked(a) if x.flat}, Induction())
+    marked(b)
+    pairs = Alignment(w.slots, units(b)).pairs(w.slots, units(b))
+    assert sum(x for _, _, x in pairs) == whole_table(w.slots, units(b))
+    assert [p[:2] for p in pairs] == sorted(p[:2] for p in pairs)
